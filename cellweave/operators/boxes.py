@@ -1,4 +1,4 @@
-"""Areas on the lattice: axis-aligned boxes by arithmetic, convex rings by clipping in Arrow batches."""
+"""Areas on the lattice: axis-aligned boxes by arithmetic, simple polygons by sums over their edges in Arrow batches."""
 
 from __future__ import annotations
 
@@ -93,40 +93,45 @@ def shoelace(ring: Column) -> Column:
     return F.aggregate(turn, F.lit(0.0), lambda a, b: a + b) / 2.0
 
 
-def _clip(px: np.ndarray, py: np.ndarray, axis: int, at: float, keep_above: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A ring cut by one line parallel to an axis: corners on the kept side, and where edges cross."""
-    if not len(px):
-        return px, py
-    v = (px, py)[axis] - at
-    side = v >= 0 if keep_above else v <= 0
-    nx, ny, nv, nside = np.roll(px, -1), np.roll(py, -1), np.roll(v, -1), np.roll(side, -1)
-    cross = side != nside
-    t = np.where(cross, v / np.where(cross, v - nv, 1), 0)
-    x = np.stack([px, px + t * (nx - px)], 1).ravel()
-    y = np.stack([py, py + t * (ny - py)], 1).ravel()
-    take = np.stack([side, cross], 1).ravel()
-    return x[take], y[take]
-
-
 def ring_area(px: np.ndarray, py: np.ndarray) -> float:
     return 0.5 * float(np.dot(px, np.roll(py, -1)) - np.dot(py, np.roll(px, -1))) if len(px) > 2 else 0.0
 
 
+def corner_areas(px: np.ndarray, py: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """Area (signed by the ring's direction) of a simple polygon west of each x and south of each y: (ys, xs).
+
+    Green's theorem: each edge, as far as it lies west of x, adds the area between it, cut at y, and the axis.
+    """
+    nx, ny = np.roll(px, -1), np.roll(py, -1)
+    out = np.zeros((len(ys), len(xs)))
+    slope = np.where(nx != px, (ny - py) / np.where(nx != px, nx - px, 1), 0)
+    for at in range(0, len(px), 4096):  # edges of very long rings in parts
+        x0, y0, x1, k = (v[at : at + 4096, None] for v in (px, py, nx, slope))
+        a, b = np.minimum(x0, xs), np.minimum(x1, xs)
+        ya, yb = (y0 + (a - x0) * k)[:, None, :], (y0 + (b - x0) * k)[:, None, :]
+        cut = ys[None, :, None]
+        low, high = np.minimum(ya, yb), np.maximum(ya, yb)
+        share = np.clip((cut - low) / np.where(high > low, high - low, 1), 0, 1)  # of the edge, below the cut
+        mean = np.where(high <= cut, (low + high) / 2, np.where(low >= cut, cut, share * (low + cut) / 2 + (1 - share) * cut))
+        out -= ((b - a)[:, None, :] * mean).sum(axis=0)
+    return out
+
+
 def ring_cells(px: np.ndarray, py: np.ndarray, template: Template) -> list[tuple[int, int, float]]:
-    """(column, row from the south, area) of each template cell that a ring shares area with: rows first, then cells."""
+    """(column, row from the south, area) of each template cell that a ring shares area with."""
     g, r = template.grid, template.grid.resolution
     place = lambda v, o, low, high: min(max(math.floor((v - o) / r), low), high - 1)
+    c0, c1 = (place(v, g.minx, template.c0, template.c1) for v in (px.min(), px.max()))
+    k0, k1 = (place(v, g.miny, template.k0, template.k1) for v in (py.min(), py.max()))
+    ox, oy = g.minx + c0 * r, g.miny + k0 * r  # near the ring, for precision
+    xs = np.arange(c1 - c0 + 2) * r
     out = []
-    for k in range(place(py.min(), g.miny, template.k0, template.k1), place(py.max(), g.miny, template.k0, template.k1) + 1):
-        y0 = g.miny + k * r
-        bx, by = _clip(*_clip(px, py, 1, y0, True), 1, y0 + r, False)
-        if len(bx) < 3:
-            continue
-        for c in range(place(bx.min(), g.minx, template.c0, template.c1), place(bx.max(), g.minx, template.c0, template.c1) + 1):
-            x0 = g.minx + c * r
-            area = abs(ring_area(*_clip(*_clip(bx, by, 0, x0, True), 0, x0 + r, False)))
-            if area > 0:
-                out.append((c, k, area))
+    for lo in range(k0, k1 + 1, 64):
+        hi = min(lo + 63, k1)
+        sums = corner_areas(px - ox, py - oy, xs, (np.arange(lo, hi + 2) - k0) * r)
+        cells = np.abs(np.diff(np.diff(sums, axis=0), axis=1))
+        for i, j in zip(*np.nonzero(cells > 0)):
+            out.append((c0 + int(j), lo + int(i), float(cells[i, j])))
     return out
 
 
@@ -145,11 +150,13 @@ def shatter_rings(df: DataFrame, template: Template, uid: str = "src_uid", ring:
                     continue
                 flat = corners.values.flatten()
                 px, py = flat[0].to_numpy(zero_copy_only=False), flat[1].to_numpy(zero_copy_only=False)
-                whole = ring_area(px, py)
+                ox, oy = float(px[0]), float(py[0])  # sums over far-off coordinates would lose digits
+                lx, ly = px - ox, py - oy
+                whole = ring_area(lx, ly)
                 if not whole:
                     continue
-                cross = px * np.roll(py, -1) - np.roll(px, -1) * py
-                cx, cy = float(((px + np.roll(px, -1)) * cross).sum() / (6 * whole)), float(((py + np.roll(py, -1)) * cross).sum() / (6 * whole))
+                cross = lx * np.roll(ly, -1) - np.roll(lx, -1) * ly
+                cx, cy = (o + float(((v + np.roll(v, -1)) * cross).sum() / (6 * whole)) for o, v in ((ox, lx), (oy, ly)))
                 top = math.floor((g.maxy - g.miny) / g.resolution - 0.5)
                 nudge = g.resolution * 1e-6
                 hc = min(max(math.floor((cx + nudge - g.minx) / g.resolution), template.c0), template.c1 - 1)

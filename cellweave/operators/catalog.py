@@ -128,7 +128,7 @@ def usage_key(taxon_id: Column) -> Column:
 
 def species_names(df: DataFrame, column: str, separator: str = ",") -> DataFrame:
     """Distinct trimmed names of lists."""
-    return df.select(F.trim(F.explode(F.split(column, separator))).alias("name")).where("name <> ''").distinct()
+    return df.select(F.explode(F.split(column, separator)).alias("name")).select(F.trim("name").alias("name")).where("name <> ''").distinct()
 
 
 def typed(value: Column) -> Column:
