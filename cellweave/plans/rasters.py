@@ -37,18 +37,18 @@ def resample_mode(spark, sf_dir):
     return r.coarsen(_classes(spark, sf_dir), FACTOR, "mode", nodata=255)
 
 
-_TARGETS = "targets as (select o_orderkey::bigint as id, (o_orderkey % 97) * 0.25::double as r, (o_orderkey % 211) * 0.25::double + 2 as c from orders where o_orderkey < 2000)"
+_TARGETS = "targets as (select o_orderkey::bigint as id, (o_orderkey % 97) * 0.37::double as r, (o_orderkey % 211) * 0.37::double + 2 as c from orders where o_orderkey < 2000)"
 
 
 def _targets(spark, sf_dir):
     k = F.col("o_orderkey").cast("long")
-    return table(spark, sf_dir, "orders").where(k < 2000).select(k.alias("id"), ((k % 97) * 0.25).alias("r"), ((k % 211) * 0.25 + 2.0).alias("c"))
+    return table(spark, sf_dir, "orders").where(k < 2000).select(k.alias("id"), ((k % 97) * 0.37).alias("r"), ((k % 211) * 0.37 + 2.0).alias("c"))
 
 
 def _interpolated(n: int, first: str, weight) -> str:
     w = f"({weight('(r - row)')}) * ({weight('(c - col)')})"
     return f"""with {RASTER}, {_TARGETS}, near as (select id, r, c, ({first.format('r')} + i)::bigint as row, ({first.format('c')} + j)::bigint as col from targets, (select unnest(range(0, {n})) as i), (select unnest(range(0, {n})) as j)),
-met as (select id, {w} as w, value as v from near join raster using (row, col)) select id, round(sum(w * v) / nullif(sum(w), 0), 8) as value from met group by all"""
+met as (select id, {w} as w, value as v from near join raster using (row, col)) select id, round(sum(w * v) / nullif(sum(w), 0), 6) as value from met group by all"""
 
 
 def _weights(kernel: str):
@@ -69,7 +69,7 @@ def _interpolating(name: str, kernel: str, n: int) -> None:
 
     @query(f"resample_{name}", _interpolated(n, first, _weights(kernel)))
     def run(spark, sf_dir, kernel=kernel):
-        return r.interpolate(raster(spark, sf_dir), _targets(spark, sf_dir), kernel).withColumn("value", F.round("value", 8))
+        return r.interpolate(raster(spark, sf_dir), _targets(spark, sf_dir), kernel).withColumn("value", F.round("value", 6))
 
 
 for _name, _k, _n in (("nearest", "nearest", 1), ("bilinear", "bilinear", 2), ("cubic", "cubic", 4), ("cubic_spline", "cubicSpline", 4), ("lanczos", "lanczos", 6)):
