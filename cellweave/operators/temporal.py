@@ -11,7 +11,13 @@ def cf_datetime(df: DataFrame, year: str = "year", month: str | None = "month",
     if year not in df.columns:
         return df
     parts = [c for c in (year, month, day) if c and c in df.columns]
-    part = lambda i, width: F.lpad(F.col(parts[i]).cast("string"), width, "0") if i < len(parts) else F.lit("01")
+
+    def part(i: int, width: int) -> Column:
+        if i >= len(parts):
+            return F.lit("01")
+        text = F.col(parts[i]).cast("string")
+        return F.when(F.length(text) <= width, F.lpad(text, width, "0")).otherwise(text)  # lpad would cut what is longer
+
     text = F.concat_ws("-", part(0, 4), part(1, 2), part(2, 2))
     given = F.lit(True)
     for c in parts:
