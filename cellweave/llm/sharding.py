@@ -3,7 +3,8 @@
 Rows of each source are shuffled by a seeded hash and ranked; a row's fractional rank is (rank - 1/2) / rows of
 its source, so every source is spread evenly over (0, 1). Rows sorted by fractional rank are cut into shards
 of equal row counts (law ``rows``: counts at most one apart): each shard, and each run inside it, holds every
-source in the mixture's proportion, to within one row.
+source in the mixture's proportion, to within 1 + (number of sources) x (the source's share) rows, however many
+rows there are.
 
 No global sort and no window over a whole source: rows fall into hash buckets inside their source, and
 into equal steps of fractional rank afterwards; bucket sizes are counted first, their running sums give each
