@@ -227,27 +227,29 @@ def search(
     ship(spark)
     rows = vectors.select(F.col(ident).cast("long").alias("id"), is_query.alias("asks"), F.expr(usable(f"cast(`{vector}` as array<double>)")).alias("vec")).where("id is not null and vec is not null")
     result = "query_id long, rank int, vec_id long, score double"
-    # the sample: the vectors with the smallest hashes
-    taken = rows.select("id", "vec").orderBy(F.xxhash64("vec", F.lit(seed)), "id").limit(sample).select("vec").distinct().collect()
+    ranked = Window.partitionBy("vec").orderBy("id")
+    entries = rows.select("id", "vec").distinct().withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1).groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    entries = durable(entries)
+    # the sample: the vectors with the smallest hashes, of those below a border that leaves a little more than enough
+    border = min(1.0, (1.2 * sample + 1000) / max(1, entries.count()))
+    low = F.xxhash64("vec", F.lit(seed))
+    taken = entries.select("vec", low.alias("h")).where(F.col("h") <= int(-(2**63) + border * (2**64 - 1025))).orderBy("h").limit(sample).select("vec").collect()
     if not taken:
         return spark.createDataFrame([], result)
     lengths = [len(r["vec"]) for r in taken]
-    width = max(set(lengths), key=lengths.count)
+    width = max(set(lengths), key=lambda n: (lengths.count(n), -n))
     x = np.array(sorted(r["vec"] for r in taken if len(r["vec"]) == width))
     forest = fit(x, trees, leaf, k, recall, seed)
     shared = spark.sparkContext.broadcast(forest)
     rows = rows.where(F.size("vec") == width)
 
-    ranked = Window.partitionBy("vec").orderBy("id")
-    entries = rows.select("id", "vec").distinct().withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k + 1).groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = shared.value
         for batch in batches:
             x = np.asarray(batch.column("vec").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1)
             yield pa.RecordBatch.from_arrays([batch.column("ids"), batch.column("vec"), pa.array(list(forest.leaves_of(x)), pa.list_(pa.int64()))], names=["ids", "vec", "leaves"])
 
-    routed = durable(entries.select("ids", "vec").mapInArrow(route, "ids array<long>, vec array<double>, leaves array<long>"))
+    routed = durable(entries.where(F.size("vec") == width).select("ids", "vec").mapInArrow(route, "ids array<long>, vec array<double>, leaves array<long>"))
     counts = {r["leaf"]: r["n"] for r in routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values()) / trees
     # pieces of leaves ("spots") in the order of the forest, and runs of them ("bins") that one task works through
