@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.crs import utm_forward, utm_inverse
 from cellweave.operators.grids import Template
+from cellweave.runtime import ship
 
 SLIVER = 1e-6
 
@@ -67,6 +68,7 @@ RING = "array<struct<x:double,y:double>>"
 
 def geographic_rings(df: DataFrame, lon: str, lat: str, u: str, quad_segs: int = 8) -> DataFrame:
     """Add ``ring`` in degrees: the buffer is drawn in each point's own UTM zone. Null beyond the zones' latitudes."""
+    ship(df.sparkSession)
     n = 4 * quad_segs
     angle = np.arange(n) * (2 * math.pi / n)
 
@@ -140,6 +142,7 @@ def shatter_rings(df: DataFrame, template: Template, uid: str = "src_uid", ring:
 
     Whatever a ring's corners' order; a ring that is null, has under 3 corners or no area gives no rows.
     """
+    ship(df.sparkSession)
     g = template.grid
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from cellweave.runtime import ship
+
 OCCURRENCE = StructType(
     [StructField("gbifid", LongType()), StructField("specieskey", LongType()), StructField("year", IntegerType()), StructField("month", IntegerType()), StructField("day", IntegerType()), StructField("recordedby", StringType()),
      StructField("individualcount", DoubleType()), StructField("decimallatitude", DoubleType()), StructField("decimallongitude", DoubleType()), StructField("coordinateuncertaintyinmeters", DoubleType()), StructField("occurrencestatus", StringType())]
@@ -37,6 +39,7 @@ def read_occurrences(spark: SparkSession, path: str, schema: StructType | None =
 
 def read_zip(spark: SparkSession, path: str, schema: StructType | None = None, lines: int = 20_000) -> DataFrame:
     """The first ``*.csv`` member of each archive, tab-separated, streamed line by line in the task that has the archive."""
+    ship(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,6 +95,7 @@ def read_assets(plan: DataFrame, fetch: Callable[[str], Iterator[tuple[int, int,
     ``fetch`` gives (row, col, value) of one address. An asset that fails ``attempts`` times, has no pixels or only
     empty ones gives one row with its status, so that the rest of the plan goes on; one task for each asset.
     """
+    ship(plan.sparkSession)
     names = plan.columns
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plan.schema), "row long, col long, value double, status string"])
 
