@@ -112,8 +112,8 @@ hashed as (
   select *, (('0x' || substr(md5(concat_ws('|', '17', k, b)), 1, 8))::bigint + 0.5::double) / 4294967296::double as u, rate - sure as mean from drawn),
 steps as (
   select h.doc_id, h.source, h.k, h.b, h.rate, h.sure, h.u, h.mean,
-    list_reduce(list_transform(range(1, 161), i -> {'i': i, 'p': 0::double, 'cdf': 0::double, 'n': 0::bigint}),
-      (s, x) -> {'i': x.i, 'p': s.p * h.mean / x.i, 'cdf': s.cdf + s.p * h.mean / x.i,
+    list_reduce(list_transform(range(1, 161), lambda i: {'i': i, 'p': 0::double, 'cdf': 0::double, 'n': 0::bigint}),
+      lambda s, x: {'i': x.i, 'p': s.p * h.mean / x.i, 'cdf': s.cdf + s.p * h.mean / x.i,
                  'n': s.n + case when s.n = x.i and h.u >= s.cdf + s.p * h.mean / x.i then 1 else 0 end},
       {'i': 0::bigint, 'p': exp(-h.mean), 'cdf': exp(-h.mean), 'n': (case when h.u >= exp(-h.mean) then 1 else 0 end)::bigint}) as fin
   from hashed h),

@@ -15,10 +15,10 @@ from cellweave.llm.sharding import op4_stratified_shards
 from cellweave.llm.simhash import op8_simhash
 from cellweave.llm.token_counts import op7_length_histogram
 from cellweave.llm.toxicity import op6_toxicity
-from cellweave.llm.warc import op9_merkle_fixity
+from cellweave.llm.warc import OP9_SQL, op9_merkle_fixity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_rp_forest, op2_poisson_mix, op3_bpe_trie, op4_stratified_shards, op5_cross_polytope, op6_toxicity, op7_length_histogram, op8_simhash, op9_merkle_fixity, op10_langid)
 }
-ORACLE_SQL: dict[str, str] = {"op2_poisson_mix": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_poisson_mix": OP2_SQL, "op9_merkle_fixity": OP9_SQL}

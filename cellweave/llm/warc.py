@@ -116,3 +116,26 @@ def fixity(pages: DataFrame, replica: DataFrame, per_file: int = PER_FILE, fanou
 def op9_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return fixity(pages, decayed(pages))
+
+
+def _level_sql(below: str, name: str, level: int) -> str:
+    return f"""{name} as (select file, seq // {FANOUT} as seq, min(off) as off, sum(len)::bigint as len,
+  sha256(concat_ws('|', min(off)::varchar, sum(len)::bigint::varchar, string_agg(digest, '|' order by seq))) as digest from {below} group by file, seq // {FANOUT})"""
+
+
+#: The same rows in DuckDB, for files of at most FANOUT ** 4 records.
+OP9_SQL = f"""
+with p as (select page_id, coalesce(url, '') as u, coalesce(html, '') as h, coalesce(page_id::varchar, 'null') as k, chr(13) || chr(10) as e from pages),
+n as (select greatest(1, (count(*) + {PER_FILE - 1}) // {PER_FILE}) as files from p),
+r as (select page_id, (('0x' || substr(md5(k), 1, 8))::bigint % files)::int as file, h,
+  concat('WARC/1.1', e, 'WARC-Type: response', e, 'WARC-Record-ID: <urn:page:', k, '>', e, 'WARC-Target-URI: ', u, e, 'Content-Type: text/html', e, 'Content-Length: ', octet_length(encode(h)), e, e, h, e, e) as rec from p, n),
+b as (select page_id, file, h, octet_length(encode(rec))::bigint as len, sha256(rec) as body from r),
+o as (select *, row_number() over (partition by file order by page_id nulls first, body) - 1 as seq,
+  coalesce(sum(len) over (partition by file order by page_id nulls first, body rows between unbounded preceding and 1 preceding), 0)::bigint as off from b),
+l0 as (select page_id, file, h, seq, off, len, sha256(concat_ws('|', off::varchar, len::varchar, body)) as digest from o),
+{_level_sql('l0', 'l1', 1)}, {_level_sql('l1', 'l2', 2)}, {_level_sql('l2', 'l3', 3)}, {_level_sql('l3', 'l4', 4)},
+d as (select case when max(seq) = 0 then 0 when max(seq) < 16 then 1 when max(seq) < 256 then 2 when max(seq) < 4096 then 3 else 4 end as levels from l0),
+roots as (select file, digest, 0 as level from l0 union all select file, digest, 1 from l1 union all select file, digest, 2 from l2 union all select file, digest, 3 from l3 union all select file, digest, 4 from l4)
+select l0.page_id, l0.file, l0.seq::int as seq, l0.off, l0.len, l0.digest, roots.digest as root, case when page_id % 97 = 13 and length(h) > 0 then 'changed' else 'ok' end as status
+from l0, d, roots where roots.file = l0.file and roots.level = d.levels
+"""
