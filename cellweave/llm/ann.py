@@ -168,7 +168,8 @@ def _best(k: int):
         spot = left.column("spot").to_numpy()
         order = np.argsort(spot, kind="stable")
         x, spot = x[order], spot[order]
-        ids = [left.column("ids").combine_chunks()[int(i)].as_py() for i in order]
+        ids = left.column("ids").to_pylist()
+        ids = [ids[i] for i in order.tolist()]
         heads = np.array([v[0] for v in ids], np.int64)
         bounds = {int(s): (int(a), int(b)) for s, a, b in zip(*_runs(spot))}
         wanted = [w.as_py() for w in right.column("spots").combine_chunks()]
