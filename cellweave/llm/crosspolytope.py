@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,24 +92,18 @@ def bucket_keys(unit: np.ndarray, tables: int, hashes: int, probes: int, seed: i
     return out
 
 
-def plan(vectors: int, width: int, cosine: float, recall: float) -> tuple[int, int]:
+def plan(vectors: int, width: int, cosine: float, recall: float, probes: int) -> tuple[int, int]:
     """(hashes, tables) for so many distinct vectors: about 8 in a bucket, and misses below 1 - ``recall``.
 
-    The chance that one hash of two vectors at distance tau agrees is about d ** -(tau^2 / (4 - tau^2)), less
-    a factor; 0.85 allows for that. Probes come on top.
+    The chance that one hash of two vectors at distance tau agrees falls as d ** -(tau^2 / (4 - tau^2)); the
+    factor 0.58 is measured. A pair meets in a table if all hashes agree, or in one of the probes.
     """
     axes = 2 * (1 << max(1, (width - 1).bit_length()))
     hashes = max(1, min(4, math.ceil(math.log(max(2, vectors / 8)) / math.log(axes))))
     apart = 2 - 2 * cosine
-    agree = 0.85 * (axes / 2) ** -(apart / (4 - apart))
-    return hashes, max(4, math.ceil(math.log(1 - recall) / math.log(1 - agree**hashes)))
-
-
-def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All usable vectors of a list column as (positions, doubles); all lists must have one length."""
-    flat = column.flatten()
-    counts = np.diff(column.offsets.to_numpy())
-    return counts, np.asarray(flat.to_numpy(zero_copy_only=False), np.float64)
+    own = (0.58 * (axes / 2) ** -(apart / (4 - apart))) ** hashes
+    meets = 1 - (1 - own) ** (1 + probes)
+    return hashes, max(4, math.ceil(math.log(1 - recall) / math.log(1 - meets)))
 
 
 def usable(column: str) -> str:
@@ -117,6 +112,11 @@ def usable(column: str) -> str:
     return f"case when {good} then {column} end"
 
 
+def _code(width: int, hashes: int) -> type:
+    """The integer type that holds a bucket's key."""
+    return np.int32 if (2 << max(1, (int(width) - 1).bit_length())) ** hashes < 2**31 else np.int64
+
+
 def _index(tables: int, hashes: int, probes: int, seed: int):
     """Rows (node, n, vector) to a row for each bucket: (bucket, home, node, n, keys, vector)."""
 
@@ -131,7 +131,7 @@ def _index(tables: int, hashes: int, probes: int, seed: int):
                     x = np.asarray(some.column(2).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width)
                     keys = bucket_keys(x / np.linalg.norm(x, axis=1, keepdims=True), tables, hashes, probes, seed)
                     n = len(rows)
-                    carried = pa.array([k.tobytes() for k in keys.reshape(n, -1)], pa.binary())
+                    carried = pa.array([k.tobytes() for k in keys.reshape(n, -1).astype(_code(width, hashes))], pa.binary())
                     for t in range(tables):
                         for p in range(1 + probes):
                             new = np.ones(n, bool) if p == 0 else (keys[:, t, p : p + 1] != keys[:, t, :p]).all(axis=1)
@@ -145,15 +145,8 @@ def _index(tables: int, hashes: int, probes: int, seed: int):
     return run
 
 
-def _pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    return np.nonzero(x @ y.T >= cosine)
-
-
-def _first_meeting(kx: np.ndarray, ky: np.ndarray, t: int, key: int, homes: np.ndarray) -> np.ndarray:
-    """For pairs with keys (m, tables, 1 + probes): whether table ``t``, bucket ``key`` is the first where they meet.
-
-    ``homes``: columns say whether the first and the second of a pair live in this bucket.
-    """
+def _first_meeting(kx: np.ndarray, ky: np.ndarray, t: int, key: int) -> np.ndarray:
+    """For pairs with keys (m, tables, 1 + probes): whether table ``t``, bucket ``key`` is the first where they meet."""
     met = np.zeros(len(kx), bool)
     for before in range(t):
         met |= (kx[:, before, :1] == ky[:, before, :]).any(axis=1) | (ky[:, before, :1] == kx[:, before, :]).any(axis=1)
@@ -162,50 +155,102 @@ def _first_meeting(kx: np.ndarray, ky: np.ndarray, t: int, key: int, homes: np.n
     in_x = (ky[:, t, :] == x_home[:, None]).any(axis=1)
     in_y = (kx[:, t, :] == y_home[:, None]).any(axis=1)
     first = np.where(in_x & in_y, np.minimum(x_home, y_home), np.where(in_x, x_home, y_home))
-    return ~met & (first == key) & homes
+    return ~met & (first == key)
+
+
+Found = tuple[list, list, list]  # node, links, other: counts of links where other is null, else edges
+
+
+def _compare(bucket: str, rows: pa.RecordBatch | pa.Table, left: np.ndarray, right: np.ndarray | None, cosine: float, tables: int, hashes: int, probes: int, out: Found) -> None:
+    """Compare two sets of rows of a bucket (or one with itself, ``right`` None), and add what is found to ``out``."""
+    width, t, code = (int(v) for v in bucket.split("/"))
+    whole = lambda name: c.combine_chunks() if isinstance(c := rows.column(name), pa.ChunkedArray) else c
+    x = np.asarray(whole("vec").flatten(), np.float64).reshape(rows.num_rows, width)
+    x = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    second = left if right is None else right
+    home = codes = None
+    edges: dict[int, int] = {}
+    links: dict[int, int] = {}
+    for lo in range(0, len(left), 512):
+        some = left[lo : lo + 512]
+        a, b = np.nonzero(x[some] @ x[second].T >= cosine)
+        a, b = some[a], second[b]
+        if right is None:
+            a, b = a[a < b], b[a < b]
+        if not len(a):
+            continue
+        if home is None:
+            home, node, copies = (np.asarray(whole(n)) for n in ("home", "node", "n"))
+            codes = np.frombuffer(b"".join(whole("codes").to_pylist()), _code(width, hashes)).reshape(rows.num_rows, tables, 1 + probes)
+        ok = (home[a] + home[b] > 0) & (node[a] != node[b])
+        a, b = a[ok], b[ok]
+        for at in range(0, len(a), 65536):
+            p, q = a[at : at + 65536], b[at : at + 65536]
+            counted = _first_meeting(codes[p], codes[q], t, code)
+            p, q = p[counted], q[counted]
+            for u, c in zip(np.concatenate([p, q]).tolist(), np.concatenate([copies[q], copies[p]]).tolist()) if len(p) < 64 else _summed(p, q, copies):
+                links[u] = links.get(u, 0) + c
+            # of the pairs, those that join two trees keep what is connected
+            for u, v in zip(*_forest(p, q, edges)):
+                out[0].append(int(node[u]))
+                out[1].append(0)
+                out[2].append(int(node[v]))
+    for u, c in links.items():
+        out[0].append(int(node[u]))
+        out[1].append(c)
+        out[2].append(None)
+
+
+def _summed(p: np.ndarray, q: np.ndarray, copies: np.ndarray) -> zip:
+    total = np.zeros(len(copies), np.int64)
+    np.add.at(total, p, copies[q])
+    np.add.at(total, q, copies[p])
+    some = np.flatnonzero(total)
+    return zip(some.tolist(), total[some].tolist())
+
+
+def _table(out: Found) -> dict[str, pa.Array]:
+    return {"node": pa.array(out[0], pa.int64()), "links": pa.array(out[1], pa.int64()), "other": pa.array(out[2], pa.int64())}
+
+
+def _verify_runs(cosine: float, tables: int, hashes: int, probes: int):
+    """Over rows sorted by bucket, each bucket within one block: counts and edges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def work(batch: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+            out: Found = ([], [], [])
+            for lo, hi in zip(starts.tolist(), ends.tolist()):
+                if hi - lo > 1:
+                    rows = batch.slice(lo, hi - lo)
+                    _compare(rows.column(0)[0].as_py(), rows, np.arange(hi - lo), None, cosine, tables, hashes, probes, out)
+            if out[0]:
+                yield pa.RecordBatch.from_pydict(_table(out))
+
+        open_ = None  # the bucket that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if open_ is not None:
+                batch = pa.concat_batches([open_, batch])
+            bucket = batch.column(0)
+            starts = np.concatenate([[0], np.flatnonzero(np.asarray(pc.not_equal(bucket[1:], bucket[:-1]))) + 1]).astype(np.int64)
+            open_ = batch.slice(int(starts[-1]))
+            yield from work(batch, starts[:-1], starts[1:])
+        if open_ is not None:
+            yield from work(open_, np.array([0]), np.array([open_.num_rows]))
+
+    return run
 
 
-def _verify(cosine: float, tables: int, probes: int, block: int):
-    """Rows of one block pair of a bucket to (node, links, other): counts of links, or edges (other not null)."""
+def _verify_blocks(cosine: float, tables: int, hashes: int, probes: int):
+    """One pair of blocks of a bucket too large for one block."""
 
     def run(key: tuple, found: pa.Table) -> pa.Table:
-        bucket, i, j = key[0].as_py(), key[1].as_py(), key[2].as_py()
-        width, t, code = (int(v) for v in bucket.split("/"))
-        node = found.column("node").to_numpy()
-        copies = found.column("n").to_numpy()
-        home = found.column("home").to_numpy().astype(bool)
+        i, j = key[1].as_py(), key[2].as_py()
         part = found.column("part").to_numpy()
-        codes = np.frombuffer(b"".join(found.column("codes").to_pylist()), np.int64).reshape(len(node), tables, 1 + probes)
-        x = np.asarray(found.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(node), width)
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        links = np.zeros(len(node), np.int64)
-        edges: dict[int, int] = {}
-        edge_a, edge_b = [], []
-        for lo in range(0, len(left), 512):
-            some = left[lo : lo + 512]
-            a, b = _pairs(x[some], x[right], cosine)
-            a, b = some[a], right[b]
-            ok = (home[a] | home[b]) & ((node[a] < node[b]) if i == j else (node[a] != node[b]))
-            a, b = a[ok], b[ok]
-            for at in range(0, len(a), 65536):
-                p, q = a[at : at + 65536], b[at : at + 65536]
-                counted = _first_meeting(codes[p], codes[q], t, code, home[p] | home[q])
-                p, q = p[counted], q[counted]
-                np.add.at(links, p, copies[q])
-                np.add.at(links, q, copies[p])
-                # an edge from each row to one earlier neighbour, and between the trees so made, keeps what is connected
-                for u, v in zip(*_forest(p, q, edges)):
-                    edge_a.append(u)
-                    edge_b.append(v)
-        some = np.flatnonzero(links)
-        return pa.table(
-            {
-                "node": pa.array(np.concatenate([node[some], node[np.array(edge_a, np.int64)]]), pa.int64()),
-                "links": pa.array(np.concatenate([links[some], np.zeros(len(edge_a), np.int64)]), pa.int64()),
-                "other": pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(node[np.array(edge_b, np.int64)], pa.int64())]),
-            }
-        )
+        out: Found = ([], [], [])
+        _compare(key[0].as_py(), found, np.flatnonzero(part == i), None if i == j else np.flatnonzero(part == j), cosine, tables, hashes, probes, out)
+        return pa.table(_table(out))
 
     return run
 
@@ -229,23 +274,31 @@ def _forest(p: np.ndarray, q: np.ndarray, parent: dict[int, int]) -> tuple[list[
     return out_a, out_b
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, *, ident: str = "vec_id", vector: str = "embedding", recall: float = 0.9999, probes: int = 4, seed: int = 7, block: int = BLOCK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, *, ident: str = "vec_id", vector: str = "embedding", recall: float = 0.999, probes: int = 2, seed: int = 7, block: int = BLOCK) -> DataFrame:
     """Per row: id, ``n_links`` (other rows linked directly), ``component_id`` and ``kept``."""
     spark = vectors.sparkSession
     ship(spark)
-    rows = vectors.select(F.col(ident).cast("long").alias("id"), F.expr(usable(f"cast(`{vector}` as array<double>)")).alias("vec"))
-    rows = rows.withColumn("vec", F.expr("transform(vec, v -> v + 0.0D)"))  # -0.0 counts as 0.0
-    # equal vectors are one node; its number is a hash of two halves, checked for collisions by grouping on the vector itself
+    kind = vectors.schema[vector].dataType.elementType.simpleString()
+    rows = vectors.select(F.col(ident).cast("long").alias("id"), F.expr(usable(f"`{vector}`")).alias("vec"))
+    rows = rows.withColumn("vec", F.expr(f"transform(vec, v -> v + cast(0 as {kind}))"))  # -0.0 counts as 0.0
+    # equal vectors are one node
     nodes = durable(rows.where("vec is not null").groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("first_id")).withColumn("node", F.monotonically_increasing_id()))
     size = nodes.agg(F.count("*").alias("c"), F.max(F.size("vec")).alias("w"), F.min("node")).first()
     if size["c"]:
-        hashes, tables = plan(size["c"], size["w"], cosine, recall)
-        placed = nodes.select("node", "n", "vec").mapInArrow(_index(tables, hashes, probes, seed), "bucket string, home int, node long, n long, codes binary, vec array<double>")
+        hashes, tables = plan(size["c"], size["w"], cosine, recall, probes)
+        placed = nodes.select("node", "n", "vec").mapInArrow(_index(tables, hashes, probes, seed), f"bucket string, home int, node long, n long, codes binary, vec array<{kind}>")
         placed = durable(placed)
-        sizes = placed.groupBy("bucket").agg(F.count("*").alias("m"), F.max("home").alias("any_home")).where("m > 1 and any_home = 1").select("bucket", F.ceil(F.col("m") / block).cast("int").alias("parts"))
-        cut = placed.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
-        checked = durable(spread.groupBy("bucket", "i", "j").applyInArrow(_verify(cosine, tables, probes, block), "node long, links long, other long"))
+        # buckets beyond a block are counted first: at most rows / block of them
+        large = placed.groupBy("bucket").agg(F.count("*").alias("m")).where(F.col("m") > block).select("bucket", F.ceil(F.col("m") / block).cast("int").alias("parts"))
+        large = durable(large)
+        schema = "node long, links long, other long"
+        whole = placed if large.isEmpty() else placed.join(large, "bucket", "left_anti")
+        checked = whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_verify_runs(cosine, tables, hashes, probes), schema)
+        if not large.isEmpty():
+            cut = placed.join(large, "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
+            checked = checked.unionByName(spread.groupBy("bucket", "i", "j").applyInArrow(_verify_blocks(cosine, tables, hashes, probes), schema))
+        checked = durable(checked)
         counts = checked.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
         linked = components(checked.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))).withColumnRenamed("label", "c")
         known = nodes.join(counts, "node", "left").join(linked, "node", "left").select("vec", "n", "first_id", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("c", "node").alias("label"))
