@@ -27,12 +27,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import CHUNK_CHARS, ship, table
+from cellweave.llm.common import blocks, resident, ship, table
 
 #: Fixed value: the split pattern of byte-level BPE vocabularies of this family.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words a worker remembers between blocks; beyond that it forgets all and starts again.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 NEVER = 1 << 40
 
 
@@ -119,7 +119,7 @@ class TrieBpe:
         back = state
         while (found := self.child.get(back << 8 | byte)) is None and back:
             back = self.fall[back]
-        if len(self.step) > 3_000_000:
+        if len(self.step) > 400_000:
             self.step = dict(self.child)
         self.step[state << 8 | byte] = found = found or 0
         return found
@@ -154,7 +154,7 @@ class TrieBpe:
                         break
                 if not known:
                     break
-            if len(self._fits) > 4_000_000:
+            if len(self._fits) > 600_000:
                 self._fits.clear()
             self._fits[key] = known
         return known
@@ -240,29 +240,10 @@ class TrieBpe:
         return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[int, TrieBpe] = {}
-
-
 def encoder_of(shared) -> TrieBpe:
     """One encoder for each vocabulary and Python worker; it outlives a task."""
     source = shared.value
-    if (key := hash(source)) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = TrieBpe(source)
-    return _ENCODERS[key]
-
-
-def blocks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """Runs of whole texts of about ``limit`` characters, with the position of the first."""
-    at, block, size = 0, [], 0
-    for i, text in enumerate(texts):
-        block.append(text or "")
-        size += len(block[-1])
-        if size >= limit:
-            yield at, block
-            at, block, size = i + 1, [], 0
-    if block:
-        yield at, block
+    return resident(("bpe", hash(source)), lambda: TrieBpe(source))
 
 
 def vocabulary_text(path: str | None = None) -> str:
@@ -290,7 +271,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, *, keep: list[str] |
         bpe = encoder_of(shared)
         for batch in batches:
             body = batch.column(batch.num_columns - 1)
-            for start, block in blocks(body.to_pylist()):
+            for start, block in blocks(body):
                 encoded = bpe.encode_block(block)
                 made: dict[str, list] = {o: [] for o in outputs}
                 for ids in encoded:

@@ -1,16 +1,18 @@
-"""Shared plumbing of the corpus operators: tables, durable lineage cuts, shipping the package to executors."""
+"""Shared plumbing of the corpus operators: tables, durable lineage cuts, what workers keep."""
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
-import zipfile
-from pathlib import Path
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellweave.runtime import ship
+
+__all__ = ["CHUNK_CHARS", "blocks", "crc_fold", "durable", "fold", "resident", "ship", "table"]
+
 #: Rows that one Python task handles at a time when it needs a block of texts in memory, in characters.
 CHUNK_CHARS = 1_000_000
 
@@ -30,25 +32,32 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def ship(spark: SparkSession) -> None:
-    """Make this package importable on executors whose PYTHONPATH does not name it."""
-    root = Path(__file__).resolve().parents[2]
-    if str(root) in os.environ.get("PYTHONPATH", "").split(":"):
-        return
-    context = spark.sparkContext
-    if getattr(context, "_cellweave_shipped", False):
-        return
-    folder = Path(tempfile.mkdtemp(prefix="cellweave-ship-"))
-    try:
-        archive = folder / "cellweave_src.zip"
-        with zipfile.ZipFile(archive, "w") as z:
-            for p in sorted((root / "cellweave").rglob("*.py")):
-                z.write(p, p.relative_to(root).as_posix())
-        context.addPyFile(str(archive))  # Spark keeps its own copy and serves it to every executor
-        context._cellweave_shipped = True
-    except OSError:
-        shutil.rmtree(folder, ignore_errors=True)
-        raise
+_RESIDENT: dict = {}
+
+
+def resident(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept in a Python worker beyond the task for the next with the same key.
+
+    A worker keeps one such thing: whoever comes next with another key replaces it.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def blocks(texts: Sequence | pa.Array, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """Runs of whole texts of about ``limit`` characters, with the position of the first; null texts are empty ones."""
+    at, block, size = 0, [], 0
+    for i, value in enumerate(texts):
+        text = (value.as_py() if isinstance(value, pa.Scalar) else value) or ""
+        block.append(text)
+        size += len(text)
+        if size >= limit:
+            yield at, block
+            at, block, size = i + 1, [], 0
+    if block:
+        yield at, block
 
 
 def fold(column: str, modulus: int) -> Column:

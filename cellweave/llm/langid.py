@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.bpe import blocks
-from cellweave.llm.common import fold, ship, table
+from cellweave.llm.common import blocks, fold, resident, ship, table
 
 #: Documents of each language that a model learns from, and rounds of expectation-maximisation.
 PER_LANGUAGE, ROUNDS = 300, 3
@@ -233,7 +232,7 @@ def learn(docs: DataFrame, training: Column, pieces: list[str] | None = None, *,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, block in blocks(batch.column(1).to_pylist()):
+            for start, block in blocks(batch.column(1)):
                 seen: dict[tuple[str, str], int] = {}
                 for name, t in zip(batch.column(0).slice(start, len(block)).to_pylist(), block):
                     for w in WORD.findall(t.lower()):
@@ -262,9 +261,6 @@ def learn(docs: DataFrame, training: Column, pieces: list[str] | None = None, *,
     return Model(languages, theta, np.zeros(len(languages)), names)
 
 
-_STARTED: dict[str, Model] = {}
-
-
 def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (default: all), and ``lang_pred`` string and ``score`` double, replacing any of that name."""
     spark = docs.sparkSession
@@ -277,7 +273,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _started(shared)
         for batch in batches:
-            for start, block in blocks(batch.column(batch.num_columns - 1).to_pylist()):
+            for start, block in blocks(batch.column(batch.num_columns - 1)):
                 said = model.predict(block)
                 part = batch.slice(start, len(block))
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64())], names=[*(f"k{i}" for i in range(len(keep))), "lang_pred", "score"])
@@ -289,10 +285,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str
 def _started(shared) -> Model:
     """The model of a broadcast, made ready once in a worker."""
     key, model = shared.value
-    if key not in _STARTED:
-        _STARTED.clear()
-        _STARTED[key] = model.start()
-    return _STARTED[key]
+    return resident(key, model.start)
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

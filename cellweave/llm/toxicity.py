@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.bpe import blocks
-from cellweave.llm.common import durable, fold, ship, table
+from cellweave.llm.common import blocks, durable, fold, resident, ship, table
 
 #: Bounds of learning: labelled documents of each class, and voters.
 PER_CLASS, MAX_VOTERS = 8000, 256
@@ -52,7 +51,7 @@ def mine(sample: DataFrame, max_voters: int, per_class: dict[int, int], lexicon:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, block in blocks(batch.column(0).to_pylist(), 4_000_000):
+            for start, block in blocks(batch.column(0), 4_000_000):
                 seen: dict[str, list[int]] = {}
                 for t, y in zip(block, batch.column(1).slice(start, len(block)).to_pylist()):
                     for f in {f for w in set(WORD.findall(t.lower())) if len(w) >= SHORTEST for f in features(w)}:
@@ -214,15 +213,10 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, *, text: str = "
     return Model(names, logistic(inputs(votes[order]), q), label_model)
 
 
-_STARTED: dict[str, Model] = {}
-
-
 def _started(shared) -> Model:
+    """The model of a broadcast, made ready once in a worker."""
     key, model = shared.value
-    if key not in _STARTED:
-        _STARTED.clear()
-        _STARTED[key] = model.start()
-    return _STARTED[key]
+    return resident(key, model.start)
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None, output: str = "score") -> DataFrame:
