@@ -47,6 +47,8 @@ WORDS_PER_SHINGLE = 3
 SEED = 42
 BITS = 3
 BUCKET_LIMIT = 8192
+#: By how much two documents of the least similarity may differ more than on average, as a share of the bits.
+SLACK = 0.025
 
 
 def fingerprint(text: str | None, words: int = WORDS_PER_SHINGLE, seed: int = SEED, width: int = 1) -> bytes:
@@ -90,17 +92,18 @@ def differing(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def shape(documents: int, similarity: float, recall: float = 0.95) -> tuple[int, int]:
-    """(segment bits, fingerprint words) for so many distinct fingerprints.
+def shape(documents: int, similarity: float, recall: float = 0.99) -> tuple[int, int, int]:
+    """(segment bits, segments, fingerprint words) for so many documents.
 
     A segment has as many bits as leave about 8 unrelated fingerprints in a bucket. Segments are added until
-    documents a little above the similarity (by 0.05) meet in one with probability ``recall``.
+    documents a little above the similarity (by 0.05) meet in one with probability ``recall``. The fingerprint
+    has 4 words at least, indexed or not: its length decides how well similarity is told.
     """
     bits = min(32, max(12, math.ceil(math.log2(max(2, documents))) - 2))
     apart = differing(min(0.999, similarity + 0.05))
     meet = (1 - apart) ** bits + bits * apart * (1 - apart) ** (bits - 1)
-    segments = math.ceil(math.log(1 - recall) / math.log(1 - meet))
-    return bits, max(2, -(-segments // (64 // bits)))
+    segments = max(8, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
+    return bits, segments, max(4, -(-segments // (64 // bits)))
 
 
 def _variants(column: str, segment: int, shift: int, bits: int) -> str:
@@ -112,10 +115,10 @@ def _variants(column: str, segment: int, shift: int, bits: int) -> str:
     return f"transform(sequence(0, {bits - 1}), i -> shiftleft(cast({segment * 64} + i as bigint), 32) | (shiftrightunsigned({column}, {shift}) & {mask}L & ~shiftleft(1L, i)))"
 
 
-def keyed(distinct: DataFrame, width: int, bits: int) -> DataFrame:
-    """A row (key, f0, f1, ...) for each variant of each segment of ``bits`` bits."""
+def keyed(distinct: DataFrame, width: int, bits: int, segments: int) -> DataFrame:
+    """A row (key, f0, f1, ...) for each variant of the first ``segments`` segments of ``bits`` bits."""
     per = 64 // bits
-    lists = [_variants(f"f{w}", w * per + i, i * bits, bits) for w in range(width) for i in range(per)]
+    lists = [_variants(f"f{n // per}", n, n % per * bits, bits) for n in range(segments)]
     return distinct.select(F.explode(F.expr(f"concat({', '.join(lists)})")).alias("key"), *[f"f{w}" for w in range(width)])
 
 
@@ -252,13 +255,13 @@ def hot_edges(hot: DataFrame) -> DataFrame:
     return ones.unionByName(twos).distinct()
 
 
-def link_fingerprints(distinct: DataFrame, width: int = 1, segment_bits: int = 32, bits: int = BITS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+def link_fingerprints(distinct: DataFrame, width: int = 1, segment_bits: int = 32, segments: int = 2, bits: int = BITS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Components of distinct fingerprints (f0, f1, ...) whose links differ in at most ``bits`` bits: (node, label).
 
     A node is a first word: fingerprints with equal first words are one. Fingerprints without a link are left out.
     """
     ship(distinct.sparkSession)
-    rows = keyed(distinct, width, segment_bits)
+    rows = keyed(distinct, width, segment_bits, segments)
     raw = durable(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_bucket_edges(width, bits, bucket_limit), "a long, b long, key long").distinct())
     edges = raw.where("b is not null").select("a", "b")
     hot = raw.where("b is null")
@@ -287,7 +290,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int
     """The rows of ``docs`` with all their columns, one of each group of documents that are similar.
 
     ``share``: the share of differing bits up to which fingerprints link; by default that of the similarity and
-    two hundredths more, for the estimate's spread. Kept is the row with the smallest id (a null id after all
+    ``SLACK`` more, for the estimate's spread. Kept is the row with the smallest id (a null id after all
     others; then the smallest hash of its text); of repeated rows one stays.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -295,12 +298,12 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int
     tagged = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], *[v.alias(k) for k, v in keys.items()])
     slim = docs.select(F.struct(keys["k_null"].alias("no"), F.col(ident).alias("id"), keys["k_text"].alias("h")).alias("who"), F.col(text).alias("n_text"))
     count = docs.count()
-    segment_bits, width = shape(count, similarity)
+    segment_bits, segments, width = shape(count, similarity)
     names = [f"f{w}" for w in range(width)]
     marked = durable(with_fingerprints(slim, words, seed, width, text="n_text"))
     per = durable(marked.groupBy(*names).agg(F.min("who").alias("who")))
-    most = int((share if share is not None else differing(similarity) + 0.02) * 64 * width)
-    linked = link_fingerprints(per.select(*names), width, segment_bits, most, bucket_limit).withColumnRenamed("node", "f0")
+    most = int((share if share is not None else differing(similarity) + SLACK) * 64 * width)
+    linked = link_fingerprints(per.select(*names), width, segment_bits, segments, most, bucket_limit).withColumnRenamed("node", "f0")
     chosen = per.join(linked, "f0", "left").groupBy(F.coalesce("label", "f0").alias("label")).agg(F.min("who").alias("who"))
     chosen = chosen.select(F.col("who.no").alias("k_null"), F.coalesce(F.col("who.id").cast("string"), F.lit("")).alias("k_id"), F.col("who.h").alias("k_text"))
     rows = tagged.join(chosen, list(keys), "left_semi").dropDuplicates(list(keys))

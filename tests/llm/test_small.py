@@ -164,8 +164,8 @@ def test_wide_buckets_in_blocks(spark):
             f[b // 64] ^= 1 << int(b % 62)
         rows.add(tuple(f))
     df = spark.createDataFrame(sorted(rows), "f0 long, f1 long")
-    free = {r["node"]: r["label"] for r in simhash.link_fingerprints(df, 2, 16, 14).collect()}
-    cut = {r["node"]: r["label"] for r in simhash.link_fingerprints(df, 2, 16, 14, bucket_limit=10).collect()}
+    free = {r["node"]: r["label"] for r in simhash.link_fingerprints(df, 2, 16, 8, 14).collect()}
+    cut = {r["node"]: r["label"] for r in simhash.link_fingerprints(df, 2, 16, 8, 14, bucket_limit=10).collect()}
     assert free == cut and len(free) > 40
 
 
