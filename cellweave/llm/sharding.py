@@ -32,6 +32,8 @@ PER_BUCKET = 4096
 
 def _ranked(rows: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
     """Rank (from 1) of each row within ``group[:-1]``, by its last column's buckets and then ``order``."""
+    # dealt by all columns of the group: a join before leaves a whole source in one task, which would do for what follows
+    rows = rows.repartition(*group)
     counts = rows.groupBy(*group).agg(F.count("*").alias("bucket_n"))
     before = Window.partitionBy(*group[:-1]).orderBy(group[-1]).rowsBetween(Window.unboundedPreceding, -1)
     first = counts.withColumn("bucket_first", F.coalesce(F.sum("bucket_n").over(before), F.lit(0))).drop("bucket_n")
