@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import table
@@ -81,17 +81,36 @@ def copies(docs: DataFrame, by_source: DataFrame, seed: int, *, ident: str = "do
     return out.withColumn("spot", F.expr(hashed(seed + 1, "m_key", "m_text", "cast(copy as string)")))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = 17, *, temperature: float = 0.5, epochs: float = 1.0, ident: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """The mixture: all columns of ``docs``, a row for each copy, in a global order that the hash decides."""
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = 17, *, temperature: float = 0.5, epochs: float = 1.0, ident: str = "doc_id", source: str = "source", text: str = "text", placed: bool = False) -> DataFrame:
+    """The mixture: all columns of ``docs``, a row for each copy, in a global order that the hash decides.
+
+    Partition i holds the i-th range of the hash, sorted: the files written are in the global order. ``placed``
+    adds ``copy`` (from 1) and ``place``, the row's number in that order (from 0).
+    """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = copies(docs, rates(docs, weights, temperature=temperature, epochs=epochs, source=source, text=text), seed, ident=ident, source=source, text=text, carry=True)
+    by_source, names = rates(docs, weights, temperature=temperature, epochs=epochs, source=source, text=text), {"ident": ident, "source": source, "text": text}
     span = math.ceil(SPAN / n)
-    dealt = out.withColumn("range", F.floor(F.col("spot") / span).cast("int")).repartition(n, "range").sortWithinPartitions("range", "spot", "m_key", "copy")
-    return dealt.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(docs.columns)])
+    dealt = lambda carry: copies(docs, by_source, seed, **names, carry=carry).withColumn("range", F.floor(F.col("spot") / span).cast("int"))
+    # rows of equal id and text tie in hash: the other columns decide, and rows equal in those too are alike
+    rest = [F.xxhash64(f"d{i}") for i, f in enumerate(docs.schema) if "map<" not in f.dataType.simpleString()]
+    order = ["spot", "m_key", "m_text", "copy", *rest]
+    out = dealt(True).repartitionById(n, F.col("range")).sortWithinPartitions("range", *order)
+    cols = [F.col(f"d{i}").alias(c) for i, c in enumerate(docs.columns) if not placed or c not in ("copy", "place")]
+    if not placed:
+        return out.select(*cols)
+    before = dealt(False).groupBy("range").agg(F.count("*").alias("n"))
+    before = before.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))  # a row for each range
+    out = out.withColumn("at", F.row_number().over(Window.partitionBy("range").orderBy(*order))).join(F.broadcast(before), "range")
+    return out.select(*cols, "copy", (F.col("before") + F.col("at") - 1).alias("place"))
+
+
+def op2_mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture itself: all columns of the documents, copy, place (in the global order, from 0, unique)."""
+    return mix(table(spark, sf_dir, "documents"), placed=True)
 
 
 def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, source, copy, n_copies, rate, spot (the place in the global order: smaller first)."""
+    """Only the draw of ``op2_mixed_documents``: doc_id, source, copy, n_copies, rate, spot (the 32-bit hash that orders the mixture; copies may share one)."""
     docs = table(spark, sf_dir, "documents")
     out = copies(docs, rates(docs), 17, carry=False)
     return out.select(F.col("m_id").alias("doc_id"), F.col("m_source").alias("source"), "copy", "n_copies", F.round("rate", 9).alias("rate"), "spot")

@@ -274,6 +274,33 @@ def test_mix(spark, docs, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_mixed_documents_are_whole_and_in_order(spark, sf):
+    from cellweave.llm.queries import QUERIES
+
+    given = spark.read.parquet(f"{sf}/documents.parquet")
+    out, drawn = QUERIES["op2_mixed_documents"](spark, sf), QUERIES["op2_poisson_mix"](spark, sf).collect()
+    assert out.columns == [*given.columns, "copy", "place"]
+    rows = out.collect()  # by partition: in the order in which files are written
+    assert [r["place"] for r in rows] == list(range(len(drawn)))
+    whole = {tuple(r) for r in given.collect()}
+    assert {tuple(r)[: len(given.columns)] for r in rows} <= whole
+    spots = collections.defaultdict(list)
+    for r in drawn:
+        spots[r["doc_id"], r["copy"]].append(r["spot"])
+    assert collections.Counter((r["doc_id"], r["copy"]) for r in rows) == {k: len(v) for k, v in spots.items()}
+    if all(len(v) == 1 for v in spots.values()):
+        hashes = [spots[r["doc_id"], r["copy"]][0] for r in rows]
+        assert hashes == sorted(hashes)
+
+
+def test_places_of_repeated_rows(spark, docs):
+    """Rows of one hash get places of their own, whatever the partitioning."""
+    rows = mixing.mix(docs, epochs=50.0, placed=True)
+    found = rows.orderBy("place").collect()
+    assert [r["place"] for r in found] == list(range(len(found)))
+    assert [tuple(r) for r in found] == [tuple(r) for r in mixing.mix(docs.repartition(5), epochs=50.0, placed=True).orderBy("place").collect()]
+
+
 def test_shards(spark, docs, nothing):
     many = spark.range(1003).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") % 10 < 6, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 10).cast("string"))).alias("source"))
     out = sharding.assign(many, 16, per_bucket=64).toPandas()
