@@ -40,14 +40,18 @@ def resample_mode(spark, sf_dir):
 _TARGETS = "targets as (select o_orderkey::bigint as id, (o_orderkey % 97) * 0.37::double as r, (o_orderkey % 211) * 0.37::double + 2 as c from orders where o_orderkey < 2000)"
 
 
-def _targets(spark, sf_dir):
+#: The same without the bound on ids: a target for each order.
+_ALL_TARGETS = "targets as (select o_orderkey::bigint as id, (o_orderkey % 97) * 0.37::double as r, (o_orderkey % 211) * 0.37::double + 2 as c from orders)"
+
+
+def _targets(spark, sf_dir, below=None):
     k = F.col("o_orderkey").cast("long")
-    return table(spark, sf_dir, "orders").where(k < 2000).select(k.alias("id"), ((k % 97) * 0.37).alias("r"), ((k % 211) * 0.37 + 2.0).alias("c"))
+    return table(spark, sf_dir, "orders").where(k < below if below else F.lit(True)).select(k.alias("id"), ((k % 97) * 0.37).alias("r"), ((k % 211) * 0.37 + 2.0).alias("c"))
 
 
-def _interpolated(n: int, first: str, weight) -> str:
+def _interpolated(n: int, first: str, weight, targets: str = _TARGETS) -> str:
     w = f"({weight('(r - row)')}) * ({weight('(c - col)')})"
-    return f"""with {RASTER}, {_TARGETS}, near as (select id, r, c, ({first.format('r')} + i)::bigint as row, ({first.format('c')} + j)::bigint as col from targets, (select unnest(range(0, {n})) as i), (select unnest(range(0, {n})) as j)),
+    return f"""with {RASTER}, {targets}, near as (select id, r, c, ({first.format('r')} + i)::bigint as row, ({first.format('c')} + j)::bigint as col from targets, (select unnest(range(0, {n})) as i), (select unnest(range(0, {n})) as j)),
 met as (select id, {w} as w, value as v from near join raster using (row, col)) select id, round(sum(w * v) / nullif(sum(w), 0), 6) as value from met group by all"""
 
 
@@ -69,6 +73,10 @@ def _interpolating(name: str, kernel: str, n: int) -> None:
 
     @query(f"resample_{name}", _interpolated(n, first, _weights(kernel)))
     def run(spark, sf_dir, kernel=kernel):
+        return r.interpolate(raster(spark, sf_dir), _targets(spark, sf_dir, 2000), kernel).withColumn("value", F.round("value", 6))
+
+    @query(f"resample_{name}_all", _interpolated(n, first, _weights(kernel), _ALL_TARGETS))
+    def run_all(spark, sf_dir, kernel=kernel):
         return r.interpolate(raster(spark, sf_dir), _targets(spark, sf_dir), kernel).withColumn("value", F.round("value", 6))
 
 

@@ -172,3 +172,36 @@ def test_catalog_keys(spark):
     got = [r.asDict() for r in catalog.parse_keys(rows).collect()]
     assert (got[0]["level"], got[0]["variable"], got[0]["time_range"], got[0]["month"]) == ("climatologies", "clt", "1981-2010", 1)
     assert str(got[1]["date"]) == "1981-01-01" and got[2]["level"] is None
+
+
+@pytest.mark.parametrize("name, kernel, reach", [("nearest", "nearest", 1), ("bilinear", "bilinear", 2), ("cubic", "cubic", 4), ("cubic_spline", "cubicSpline", 4), ("lanczos", "lanczos", 6)])
+def test_interpolation_of_every_order(spark, tmp_path, name, kernel, reach):
+    """All orders are targets, whatever their ids: against weights over all pixels."""
+    from cellweave.registry import queries
+
+    keys = [0, 5, 1999, 2000, 2001, 31337, 10**6, 10**9 + 7]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, k % 7, 900.0 + k % 13) for k in range(64 * 37)], "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+
+    def weight(t):
+        a = abs(t)
+        if kernel == "nearest":
+            return float(-0.5 <= t < 0.5)
+        if kernel == "bilinear":
+            return max(1 - a, 0)
+        if kernel == "cubic":
+            return 1.5 * a**3 - 2.5 * a**2 + 1 if a <= 1 else -0.5 * a**3 + 2.5 * a**2 - 4 * a + 2 if a < 2 else 0
+        if kernel == "cubicSpline":
+            return 0.5 * a**3 - a**2 + 2 / 3 if a <= 1 else (2 - a) ** 3 / 6 if a < 2 else 0
+        return np.sinc(t) * np.sinc(t / 3) if a < 3 else 0
+
+    want = {}
+    for k in keys:
+        r, c = (k % 97) * 0.37, (k % 211) * 0.37 + 2
+        met = [(weight(r - row) * weight(c - col), 900.0 + (row * 64 + col) % 13) for row in range(37) for col in range(64) if abs(r - row) <= reach and abs(c - col) <= reach]
+        if abs(total := sum(w for w, _ in met)) > 1e-6:
+            want[k] = sum(w * v for w, v in met) / total
+    got = {r["id"]: r["value"] for r in queries()[f"resample_{name}_all"](spark, str(tmp_path)).collect()}
+    assert max(want) > 2000 and set(want) <= set(got)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-5)
