@@ -6,13 +6,16 @@ XXH64 values (seed + w) of a document's word shingles. Two rules link documents:
 ``near_duplicates``: 64 bits, linked if at most 3 bits differ. 2 segments of 32 bits, so that of two linked
 fingerprints one segment differs by at most one bit: no link is missed.
 
-``keep_one``: a similarity (Jaccard, of 5-word shingles) of 0.8 or more. Bits of two documents differ with
-probability acos(2J / (1 + J)) / pi, 0.15 at J = 0.8, so the fingerprint must be wider and is an estimate:
-linked are fingerprints that differ in at most ``share`` of their bits. Segments shrink to what keeps buckets
-small at the given number of documents, and their number grows until pairs of that similarity meet in one with
-probability ``recall`` at J = 0.85 (see ``shape``).
-
-Candidate search: each segment is indexed with every single bit replaced by a wildcard; two segments that
+``keep_one``: a Jaccard similarity of 0.8 or more of the sets of 5-word shingles, always compared exactly;
+fingerprints only find the pairs to compare. Bits of two documents differ with probability
+acos(2J / (1 + J)) / pi, 0.15 at J = 0.8. A fingerprint is cut into segments, documents that share one meet, and
+those that meet are compared if 128 further bits differ little. Segments are as short as the number of documents
+allows and, at any number, so many that documents of the least similarity meet with probability ``RECALL``
+(more similar ones more often): the number of documents changes the cost, not what is found, up to that share.
+In groups of many members first only as many pairs are compared as would connect them, then all pairs that the
+first round left in different groups.
+
+``near_duplicates``' candidate search: each segment is indexed with every single bit replaced by a wildcard; two segments that
 differ by at most one bit have a variant in common. Fingerprints that share a variant are verified.
 
 Work is on distinct fingerprints, so copies never multiply. Of a bucket's verified pairs only as many
@@ -47,8 +50,10 @@ WORDS_PER_SHINGLE = 3
 SEED = 42
 BITS = 3
 BUCKET_LIMIT = 8192
-#: By how much two documents of the least similarity may differ more than on average, as a share of the bits.
-SLACK = 0.025
+#: The probability with which documents of the least similarity meet in a segment of ``keep_one``.
+RECALL = 0.999
+#: Standard deviations above the mean up to which their ``CHECK`` further words may differ.
+SPREAD, CHECK = 3.7, 2
 
 
 def fingerprint(text: str | None, words: int = WORDS_PER_SHINGLE, seed: int = SEED, width: int = 1) -> bytes:
@@ -92,18 +97,72 @@ def differing(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def shape(documents: int, similarity: float, recall: float = 0.99) -> tuple[int, int, int]:
-    """(segment bits, segments, fingerprint words) for so many documents.
+def shape(documents: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
+    """(segment bits, segments) for so many documents.
 
-    A segment has as many bits as leave about 8 unrelated fingerprints in a bucket. Segments are added until
-    documents a little above the similarity (by 0.05) meet in one with probability ``recall``. The fingerprint
-    has 4 words at least, indexed or not: its length decides how well similarity is told.
+    A segment has as many bits as leave about 8 unrelated documents in a bucket. Segments are added until documents
+    of the similarity itself share one with probability ``recall``, at any number of documents.
     """
-    bits = min(32, max(12, math.ceil(math.log2(max(2, documents))) - 2))
-    apart = differing(min(0.999, similarity + 0.05))
-    meet = (1 - apart) ** bits + bits * apart * (1 - apart) ** (bits - 1)
-    segments = max(8, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
-    return bits, segments, max(4, -(-segments // (64 // bits)))
+    bits = min(30, max(12, math.ceil(math.log2(max(2, documents))) - 3))
+    meet = (1 - differing(min(0.999, similarity))) ** bits
+    return bits, math.ceil(math.log(1 - recall) / math.log(1 - meet))
+
+
+def shingles(text: str | None, words: int, seed: int = SEED) -> np.ndarray:
+    """The set of a text's word shingles, as sorted distinct XXH64 values; words as for ``fingerprint``."""
+    import xxhash
+
+    tokens = (text or "").encode().lower().split()
+    if not tokens:
+        return np.empty(0, np.uint64)
+    found = list(map(b" ".join, zip(*(tokens[i:] for i in range(words))))) if len(tokens) >= words else [b" ".join(tokens)]
+    return np.unique(np.frombuffer(b"".join(map(xxhash.xxh64_digest, found, repeat(seed))), ">u8").astype(np.uint64))
+
+
+def named(found: np.ndarray, seed: int = SEED) -> int:
+    """A signed 64-bit name of a set of shingles."""
+    import xxhash
+
+    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), seed)).view(np.int64))
+
+
+def wide_bits(found: np.ndarray, width: int) -> np.ndarray:
+    """The ``64 * width`` bits of a set's fingerprint: each set if it is set in over half of the remixed shingles."""
+    ones = np.zeros(64 * width, np.int64)
+    steps = np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(found), 2048):
+        z = found[at : at + 2048, None] + steps
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        ones += np.unpackbits(z.view(np.uint8), axis=1).sum(axis=0, dtype=np.int32)
+    return ones * 2 > len(found)
+
+
+def sketches(slim: DataFrame, words: int, bits: int, segments: int, seed: int = SEED) -> DataFrame:
+    """Rows of ``slim(who, n_text)`` as (who, node: the name of the set of shingles, c0, c1: further words, keys: the segments)."""
+    ship(slim.sparkSession)
+    schema = f"who {slim.schema['who'].dataType.simpleString()}, node long, c0 long, c1 long, keys array<long>"
+    width, weights = CHECK - (-segments * bits // 64), 1 << np.arange(bits, dtype=np.int64)
+    first = np.arange(segments, dtype=np.int64) << 32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, checks, keys = [], [], []
+            for text in batch.column(1):
+                found = shingles(text.as_py(), words, seed)
+                own = wide_bits(found, width)
+                nodes.append(named(found, seed))
+                checks.append(np.packbits(own[: 64 * CHECK]).view(np.int64))
+                keys.append(first | own[64 * CHECK : 64 * CHECK + segments * bits].reshape(segments, bits) @ weights)
+            n = len(nodes)
+            if not n:
+                continue
+            c = np.stack(checks)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * segments), pa.array(np.concatenate(keys)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), *(pa.array(np.ascontiguousarray(c[:, w])) for w in range(CHECK)), lists], names=["who", "node", "c0", "c1", "keys"])
+
+    return slim.mapInArrow(run, schema)
 
 
 def _variants(column: str, segment: int, shift: int, bits: int) -> str:
@@ -274,6 +333,124 @@ def link_fingerprints(distinct: DataFrame, width: int = 1, segment_bits: int = 3
     return components(edges)
 
 
+def across(values: np.ndarray, labels: np.ndarray, bits: int, block: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of positions within ``bits`` bits whose labels differ."""
+    for at in range(0, len(values), block):
+        part = slice(at, at + block)
+        for lo in range(at, len(values), 4096):
+            other = slice(lo, lo + 4096)
+            open_ = labels[part][:, None] != labels[None, other]
+            if open_.any():
+                i, j = np.nonzero(open_)
+                near = apart(values[part][i], values[other][j]) <= bits
+                yield i[near] + at, j[near] + lo
+
+
+def _meetings(bits: int, limit: int, labelled: bool, small: int = 16):
+    """Over rows (key, node, c0, c1, label) sorted by key: pairs (a, b, key null) of nodes to compare.
+
+    Not ``labelled``: as many as connect a bucket's members (all of them up to ``small``). ``labelled``: all whose
+    labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, key) once.
+    """
+
+    def pack(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int64())], names=["a", "b", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(key: int | None, held: list) -> Iterator[pa.RecordBatch]:
+            n = sum(len(h[0]) for h in held)
+            if n > limit:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key], pa.int64())], names=["a", "b", "key"])
+            elif n > 1:
+                node, values, label = (np.concatenate(x) for x in zip(*held))
+                for a, b in across(values, label, bits) if labelled else [tie(values, bits)]:
+                    if len(a):
+                        yield pack(node[a], node[b])
+
+        held_key, held, held_n = None, [], 0  # the bucket that is still open
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, node, c0, c1, label = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            values = np.stack([c0, c1], axis=1).view(np.uint64)
+            starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+            sizes = np.diff(np.append(starts, len(keys)))
+            inner = np.ones(len(starts), bool)
+            inner[0] = inner[-1] = False  # these may go on in another batch
+            few = inner & (sizes > 1) & (sizes <= small)
+            # small buckets at once: each member with the one d places after it
+            first, last = starts[few], starts[few] + sizes[few]
+            stop = np.repeat(last, last - first)
+            at = np.arange(len(stop)) - np.repeat(np.cumsum(last - first) - (last - first), last - first) + np.repeat(first, last - first)
+            for d in range(1, small):
+                ok = at + d < stop
+                at, stop = at[ok], stop[ok]
+                if not len(at):
+                    break
+                near = (apart(values[at], values[at + d]) <= bits) & (label[at] != label[at + d])
+                if near.any():
+                    yield pack(node[at[near]], node[at[near] + d])
+            for i in np.flatnonzero(~inner | (sizes > small)):
+                key, part = keys[starts[i]], slice(starts[i], starts[i] + sizes[i])
+                if key != held_key:
+                    yield from close(held_key, held)
+                    held_key, held, held_n = int(key), [], 0
+                if held_n <= limit:
+                    held.append((node[part].copy(), values[part].copy(), label[part].copy()))
+                held_n += sizes[i]
+        yield from close(held_key, held)
+
+    return run
+
+
+def _block_meetings(bits: int, labelled: bool):
+    def run(found: pa.Table) -> pa.Table:
+        node, c0, c1, label = (found.column(c).to_numpy() for c in ("node", "c0", "c1", "label"))
+        values = np.stack([c0, c1], axis=1).view(np.uint64)
+        pairs = list(across(values, label, bits)) if labelled else [tie(values, bits)]
+        a, b = (node[np.concatenate([p[i] for p in pairs] or [np.empty(0, np.int64)])] for i in (0, 1))
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return run
+
+
+def meetings(sketched: DataFrame, bits: int, limit: int, labelled: bool) -> DataFrame:
+    """Distinct pairs (a, b) of nodes of ``sketched(node, c0, c1, keys, label)`` to compare: see ``_meetings``."""
+    rows = sketched.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
+    raw = durable(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meetings(bits, limit, labelled), "a long, b long, key long").distinct())
+    pairs, hot = raw.where("key is null").select("a", "b"), raw.where("key is not null").select("key")
+    if hot.isEmpty():
+        return pairs
+    inside = durable(rows.join(hot, "key"))
+    parts = inside.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
+    cut = inside.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
+    return durable(pairs.unionByName(spread.groupBy("key", "i", "j").applyInArrow(_block_meetings(bits, labelled), "a long, b long")).distinct())
+
+
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets (node, s, n) have a Jaccard similarity of ``similarity`` or more, compared exactly."""
+    one = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na"))
+    two = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"), F.col("n").alias("nb"))
+    sized = pairs.join(one.drop("sa"), "a").join(two.drop("sb"), "b").where(F.least("na", "nb") >= F.greatest("na", "nb") * similarity - 1e-6).select("a", "b")
+    met = sized.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
+    return met.where(F.col("both") >= (F.col("na") + F.col("nb") - F.col("both")) * F.lit(float(similarity)) - 1e-6).where("both > 0").select("a", "b")
+
+
+def shingle_sets(texts: DataFrame, words: int, seed: int = SEED) -> DataFrame:
+    """(node, s, n): a row for each distinct set of shingles of ``texts(n_text)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                found = [shingles(t.as_py(), words, seed) for t in batch.column(0)[at : at + 256]]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                s = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([named(f, seed) for f in found], pa.int64()), s, pa.array(np.diff(ends))], names=["node", "s", "n"])
+
+    return texts.mapInArrow(run, "node long, s array<long>, n int").dropDuplicates(["node"])
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS_PER_SHINGLE, seed: int = SEED, *, text: str = "text", ident: str = "doc_id", bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Per row of ``docs``: its id, ``fp`` (64 bits as a long) and ``component_id``."""
     slim = docs.select(F.col(ident).alias("n_id"), F.col(text).alias("n_text"))
@@ -289,22 +466,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS_PER_SHINGLE, seed: int =
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = SEED, *, text: str = "text", ident: str = "doc_id", share: float | None = None, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """The rows of ``docs`` with all their columns, one of each group of documents that are similar.
 
-    ``share``: the share of differing bits up to which fingerprints link; by default that of the similarity and
-    ``SLACK`` more, for the estimate's spread. Kept is the row with the smallest id (a null id after all
-    others; then the smallest hash of its text); of repeated rows one stays.
+    ``share``: the share of differing bits up to which documents that meet are compared; by default that of the
+    similarity and ``SPREAD`` standard deviations. Groups are what exact similarity links. Kept is the row with
+    the smallest id (a null id after all others; then the smallest hash of its text); of repeated rows one stays.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     keys = {"k_null": F.col(ident).isNull().cast("int"), "k_id": F.coalesce(F.col(ident).cast("string"), F.lit("")), "k_text": F.xxhash64(body)}
     tagged = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], *[v.alias(k) for k, v in keys.items()])
     slim = docs.select(F.struct(keys["k_null"].alias("no"), F.col(ident).alias("id"), keys["k_text"].alias("h")).alias("who"), F.col(text).alias("n_text"))
-    count = docs.count()
-    segment_bits, segments, width = shape(count, similarity)
-    names = [f"f{w}" for w in range(width)]
-    marked = durable(with_fingerprints(slim, words, seed, width, text="n_text"))
-    per = durable(marked.groupBy(*names).agg(F.min("who").alias("who")))
-    most = int((share if share is not None else differing(similarity) + SLACK) * 64 * width)
-    linked = link_fingerprints(per.select(*names), width, segment_bits, segments, most, bucket_limit).withColumnRenamed("node", "f0")
-    chosen = per.join(linked, "f0", "left").groupBy(F.coalesce("label", "f0").alias("label")).agg(F.min("who").alias("who"))
+    segment_bits, segments = shape(docs.count(), similarity)
+    marked = sketches(slim, words, segment_bits, segments, seed)
+    per = durable(marked.groupBy("node").agg(F.min("who").alias("who"), *[F.any_value(c).alias(c) for c in ("c0", "c1", "keys")]))
+    wide, p = 64 * CHECK, differing(similarity)
+    most = int(wide * (share if share is not None else p + SPREAD * math.sqrt(p * (1 - p) / wide)))
+    first = meetings(per.withColumn("label", F.col("node")), most, bucket_limit, False)
+    nodes = durable(first.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    near = per.join(nodes, "node", "left_semi")
+    # one text for each set that may be compared
+    texts = docs.select(F.col(text).alias("n_text"), keys["k_text"].alias("h")).join(near.select(F.col("who.h").alias("h")).distinct(), "h", "left_semi").select("n_text")
+    sets = durable(shingle_sets(texts, words, seed).join(nodes, "node", "left_semi"))
+    sure = durable(alike(first, sets, similarity))
+    grouped = near.join(components(sure), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    second = meetings(grouped, most, bucket_limit, True).join(first, ["a", "b"], "left_anti")
+    linked = components(sure.unionByName(alike(second, sets, similarity)))
+    chosen = per.join(linked, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("who").alias("who"))
     chosen = chosen.select(F.col("who.no").alias("k_null"), F.coalesce(F.col("who.id").cast("string"), F.lit("")).alias("k_id"), F.col("who.h").alias("k_text"))
     rows = tagged.join(chosen, list(keys), "left_semi").dropDuplicates(list(keys))
     return rows.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -181,6 +181,48 @@ def test_keep_one(spark, docs, nothing):
     assert simhash.keep_one(nothing).count() == 0
 
 
+@pytest.mark.parametrize("documents", [None, 200_000, 12_000_000])
+def test_keep_one_is_exact_at_any_size(spark, monkeypatch, documents):
+    """Pairs at 0.80 link and pairs at 0.77 do not, also with the segments of larger tables."""
+    if documents:
+        sized = simhash.shape
+        monkeypatch.setattr(simhash, "shape", lambda n, *a, **k: sized(documents, *a, **k))
+    rng = np.random.default_rng(8)
+
+    def pair(i, inner, outer):
+        """Two texts that share ``inner`` shingles and have ``outer`` of their own each."""
+        own = [f"d{i}w{rng.integers(10**9)}" for _ in range(inner + 4)]
+        return [" ".join(own + [f"{i}{side}{j}" for j in range(outer)]) for side in "ab"]
+
+    rows, like = [], {}
+    for i in range(300):
+        inner, outer = [(160, 20), (80, 10), (154, 23), (200, 30)][i % 4]  # 0.80, 0.80, 0.77, 0.769
+        a, b = pair(i, inner, outer)
+        rows += [(2 * i, a, "en", "a", 1), (2 * i + 1, b, "en", "a", 1)]
+        like[i] = inner / (inner + 2 * outer) >= 0.8
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(2 * i in kept for i in like)
+    assert all(2 * i + 1 in kept for i, yes in like.items() if not yes)
+    assert sum(2 * i + 1 not in kept for i, yes in like.items() if yes) >= 0.98 * sum(like.values())
+
+
+@pytest.mark.parametrize("limit", [8192, 20])
+def test_keep_one_in_a_large_group(spark, limit):
+    """Many versions of one text, some similar enough: groups as brute force finds them."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(90):
+        mine = list(base)
+        for j in rng.choice(200, rng.integers(0, 10), replace=False):
+            mine[j] = f"x{i}y{j}"
+        texts.append(" ".join(mine))
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    near = groups(list(range(90)), lambda x, y: len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
+    kept = simhash.keep_one(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS), bucket_limit=limit)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(near.values()))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 2000), (2000, 3000), (7, 7), (None, 3)]
     got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
