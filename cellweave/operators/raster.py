@@ -74,6 +74,41 @@ def interpolate(pixels: DataFrame, targets: DataFrame, kernel: str, value: str =
     return met.groupBy("id").agg((F.sum(F.col("w") * F.col("v")) / F.nullif(F.sum("w"), F.lit(0.0))).alias(value))
 
 
+def _axis(pixels: DataFrame, key: str, c: str) -> DataFrame:
+    """(key, first, last and step of the pixel centres along one axis); the step is null where there is one only."""
+    at = pixels.select(key, F.round(c, 9).alias("at")).distinct()
+    gap = F.col("at") - F.lag("at").over(Window.partitionBy(key).orderBy("at"))
+    per = at.withColumn("gap", gap).groupBy(key).agg(F.min("at").alias(f"{c}0"), F.max("at").alias(f"{c}1"), F.min(F.when(F.col("gap") > 1e-7, F.col("gap"))).alias("gap"))
+    span = F.col(f"{c}1") - F.col(f"{c}0")
+    return per.select(key, f"{c}0", f"{c}1", (span / F.round(span / F.col("gap"))).alias(f"{c}d"))
+
+
+def warp(pixels: DataFrame, cells: DataFrame, resolution: float, kernel: str, key: str = "href", nodata=None) -> DataFrame:
+    """Values (key, grid_idx, value) interpolated at the centres of ``cells(grid_idx, x, y)`` inside each asset.
+
+    ``pixels`` (key, x, y, value) lie on a lattice of their own for each key, in the cells' CRS. Where cells are
+    larger than pixels the kernel is stretched to them (except nearest); otherwise as ``interpolate``.
+    """
+    kernel = kernel if kernel in INTERPOLATING else "bilinear"
+    n = INTERPOLATING[kernel]
+    own = F.lit(float(resolution))
+    lattice = _axis(pixels, key, "x").join(_axis(pixels, key, "y"), key).withColumns({"xd": F.coalesce("xd", own), "yd": F.coalesce("yd", own)})
+    lattice = lattice.withColumns({"xs": F.greatest(F.lit(1.0), own / F.col("xd")), "ys": F.greatest(F.lit(1.0), own / F.col("yd"))})
+    place = lambda c: (F.col(c) - F.col(f"{c}0")) / F.col(f"{c}d")
+    inside = lambda c: F.col(c).between(F.col(f"{c}0") - F.col(f"{c}d") / 2, F.col(f"{c}1") + F.col(f"{c}d") / 2)
+    t = cells.select("grid_idx", "x", "y").join(F.broadcast(lattice), inside("x") & inside("y")).select(key, "grid_idx", place("y").alias("r"), place("x").alias("c"), "xs", "ys")
+    if n == 1:
+        near = lambda v, s: F.array(F.floor(F.col(v) + 0.5))
+    else:
+        near = lambda v, s: F.sequence(F.ceil(F.col(v) - F.col(s) * (n // 2)), F.floor(F.col(v) + F.col(s) * (n // 2)))
+    t = t.withColumn("row", F.explode(near("r", "ys"))).withColumn("col", F.explode(near("c", "xs")))
+    t = t.withColumn("w", _weights(kernel, (F.col("r") - F.col("row")) / F.col("ys")) * _weights(kernel, (F.col("c") - F.col("col")) / F.col("xs")))
+    v = masked(F.col("value"), nodata)
+    p = pixels.select(key, "x", "y", v.alias("v")).where("v is not null").join(F.broadcast(lattice), key).select(key, F.round(place("y")).cast("long").alias("row"), F.round(place("x")).cast("long").alias("col"), "v")
+    found = t.join(p, [key, "row", "col"]).groupBy(key, "grid_idx").agg((F.sum(F.col("w") * F.col("v")) / F.nullif(F.sum("w"), F.lit(0.0))).alias("value"))
+    return found.where("value is not null")
+
+
 def class_fraction(pixels: DataFrame, wanted: int, factor: int, nodata: int, value: str = "value") -> DataFrame:
     """Share of a class among a cell's pixels that have data."""
     flag = F.when(F.col(value) != nodata, (F.col(value) == wanted).cast("double"))

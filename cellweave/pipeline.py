@@ -145,11 +145,17 @@ def raster_pipeline(spark: SparkSession, spec: dict, recipe: recipes.Recipe, pix
     grid = maker.grid(spec)
     template = grid.bounds_template(tuple(recipe.spatial["bbox"]))
     chosen = maker.label(maker.plan(spark, spec, recipe).withColumn("rule", maker.rule(F.col("variable"))))
-    placed = pixels.join(chosen.select("href", "rule", *maker.keys()), "href").withColumn("grid_idx", template.nearest(F.col("x"), F.col("y")) if spec.get("snap") else template.intersect(F.col("x"), F.col("y"))).where("grid_idx is not null")
+    rules = {r[0] for r in chosen.select("rule").distinct().collect()}
+    labels = chosen.select("href", "rule", *maker.keys())
+    placed = pixels.join(labels.where(F.col("rule").isin(*raster.KERNELS)), "href").withColumn("grid_idx", template.nearest(F.col("x"), F.col("y")) if spec.get("snap") else template.intersect(F.col("x"), F.col("y"))).where("grid_idx is not null")
     v = raster.masked(F.col("value"), spec.get("nodata"))
-    # interpolation to coarser cells falls back to the mean of their pixels
-    value = F.when(F.first("rule") == "mode", F.mode(v, True)).when(F.first("rule") == "max", F.max(v)).when(F.first("rule") == "min", F.min(v)).otherwise(F.avg(v))
-    return placed.groupBy(*maker.keys(), "grid_idx").agg(value.alias("value"))
+    value = F.coalesce(*[raster.KERNELS[k](F.when(F.col("rule") == k, v)) for k in sorted(rules & set(raster.KERNELS))], F.lit(None).cast("double"))
+    out = [placed.groupBy(*maker.keys(), "grid_idx").agg(value.alias("value"))] if rules & set(raster.KERNELS) or not rules else []
+    for rule in sorted(rules - set(raster.KERNELS)):  # interpolated at the cells' centres
+        own = labels.where(F.col("rule") == rule)
+        found = raster.warp(pixels.join(own.select("href").distinct(), "href", "left_semi"), template.cells(spark), grid.resolution, rule, nodata=spec.get("nodata"))
+        out.append(found.join(own, "href").select(*maker.keys(), "grid_idx", "value"))
+    return raster.stack(out)
 
 
 def run(spark: SparkSession, recipe: recipes.Recipe) -> dict:

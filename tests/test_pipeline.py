@@ -68,6 +68,25 @@ def test_raster_cube(spark, tmp_path):
     assert [(r["variable"], r["z"], r["value"]) for r in got] == [("bio12", "1981-2010", 2.0)]
 
 
+def test_raster_cube_interpolates_on_a_finer_grid(spark, tmp_path):
+    """A bilinear variable, 30 arc-second pixels on 15 second cells: a plane comes back, with a value in every cell."""
+    path = str(tmp_path / "catalog")
+    spark.createDataFrame([("bioclim", "bio01", "1981-2010", None, None, None, None, "a")], "level string, variable string, time_range string, model string, scenario string, month int, date date, href string").write.parquet(path)
+    made = recipe.parse({"base_dir": "x", "spatial": {"bbox": [3.0, 50.5, 3.1, 50.6]}})
+    step = 1 / 120
+    rows = [("a", 2.9 + (i + 0.5) * step, 50.4 + (j + 0.5) * step, 5.0 * i + 3.0 * j) for i in range(36) for j in range(36)]
+    pixels = spark.createDataFrame(rows, "href string, x double, y double, value double")
+    spec = {"catalog": path, "target": {"grid": "Global_WGS84_15sec"}}
+    grid = pipeline.Climate().grid(spec)
+    assert abs(grid.resolution - step / 2) < 1e-9
+    cells = {r["grid_idx"]: r for r in grid.bounds_template((3.0, 50.5, 3.1, 50.6)).cells(spark).collect()}
+    got = {r["grid_idx"]: r["value"] for r in pipeline.raster_pipeline(spark, spec, made, pixels).collect()}
+    assert set(got) == set(cells)
+    for k, v in got.items():
+        want = 5.0 * ((cells[k]["x"] - 2.9) / step - 0.5) + 3.0 * ((cells[k]["y"] - 50.4) / step - 0.5)
+        assert abs(v - want) < 1e-4
+
+
 def test_readers(spark, tmp_path):
     text = "gbifid\tspecieskey\tdecimalLatitude\n1\t7\t50.5\n2\t\t51.0\n"
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
