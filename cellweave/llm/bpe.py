@@ -10,8 +10,9 @@ that ``t`` may follow the last token of ``s[:j]``; two tokens may stand side by
 across their border would have been taken before the merges that build them.
 
 Defined results. Null text: encoded as the empty text (0 tokens). Strings of added tokens in a text
-(``<|endoftext|>``) become those tokens, as the tokenizers library does by default. Texts of any length are
-encoded whole. Repeated rows give repeated result rows. Other columns, whatever their names, are not read.
+(``<|endoftext|>``) become those tokens, as the tokenizers library does by default. Texts and words of any length
+are encoded whole, in memory linear in their length. Repeated rows give repeated result rows. Kept columns may have
+any names, but an output replaces a kept column of its name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from cellweave.llm.common import blocks, resident, ship, table
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words a worker remembers between blocks; beyond that it forgets all and starts again.
 REMEMBERED = 300_000
+#: Letters beyond which a word is not remembered, so that what is remembered stays small.
+LONG = 64
 NEVER = 1 << 40
 
 
@@ -163,11 +166,12 @@ class TrieBpe:
         """Ids of each distinct word as little-endian 32-bit integers.
 
         Sorted words visit the trie depth first: the stacks hold the states of the nodes on the way to the
-        present word, and what it shares with the word before stays.
+        present word, and what it shares with the word before stays. A node holds its last token and that
+        token's length, so memory is linear in a word's length.
         """
         out, id_bytes, fits, known, ends = {}, self.id_bytes, self.fits, self._fits, self.ends
         last: list[int] = [-1]  # by depth: the last token
-        codes: list[bytes] = [b""]  # by depth: the whole encoding
+        sizes: list[int] = [0]  # by depth: its length
         states: list[int] = [0]  # by depth: the automaton's state
         before = b""
         for raw, word in sorted((w.encode(), w) for w in words):
@@ -177,8 +181,8 @@ class TrieBpe:
             else:
                 while raw[shared] == before[shared]:
                     shared += 1
-            del last[shared + 1 :], codes[shared + 1 :], states[shared + 1 :]
-            state, i, step = states[-1], shared, self.step
+            del last[shared + 1 :], sizes[shared + 1 :], states[shared + 1 :]
+            state, i, step = states[-1], len(states) - 1, self.step
             for byte in raw[shared:]:
                 i += 1
                 if (after := step.get(state << 8 | byte)) is None:
@@ -189,12 +193,17 @@ class TrieBpe:
                     j = i - length
                     if j == 0 or (fits(last[j], token) if (ok := known.get(last[j] << 20 | token)) is None else ok):
                         last.append(token)
-                        codes.append(codes[j] + id_bytes[token])
+                        sizes.append(length)
                         states.append(state)
                         break
                 else:
                     raise ValueError(f"no token ends at byte {i} of {raw!r}")
-            out[word] = codes[-1]
+            path = []  # the word's tokens, walked back from its end
+            while i:
+                path.append(id_bytes[last[i]])
+                i -= sizes[i]
+            path.reverse()
+            out[word] = b"".join(path)
             before = raw
         return out
 
@@ -232,9 +241,14 @@ class TrieBpe:
         if len(self.words) + len(distinct) > REMEMBERED:
             self.words.clear()
         words = self.words
-        words.update(self.encode_words(distinct - words.keys()))
+        new = self.encode_words(distinct - words.keys())
+        words.update(new)
         get = words.__getitem__
-        return [b"".join(map(get, p)) if ok else b"".join(x if type(x) is bytes else get(x) for x in p) for p, ok in zip(parts, plain)]
+        out = [b"".join(map(get, p)) if ok else b"".join(x if type(x) is bytes else get(x) for x in p) for p, ok in zip(parts, plain)]
+        for word in new:
+            if len(word) > LONG:
+                del words[word]
+        return out
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")

@@ -57,6 +57,21 @@ def test_bpe_equals_the_library(docs):
         assert r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
 
 
+def test_bpe_long_words_need_linear_memory():
+    import tracemalloc
+
+    tok, ours = library(), bpe.TrieBpe(bpe.vocabulary_text())
+    letters = np.random.default_rng(4).integers(97, 107, 1_000_000).astype(np.uint8).tobytes().decode()
+    for text in (letters, " " * 1_000_000, "a" * 200_000):
+        tracemalloc.start()
+        ids = ours.encode_block([text])[0]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        want = tok.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and ours.decode(ids) == text
+        assert most < 200e6 and text not in ours.words
+
+
 def test_bpe_on_odd_text():
     tok, mine = library(), bpe.TrieBpe(bpe.vocabulary_text())
     rng = np.random.default_rng(0)
@@ -401,7 +416,7 @@ def test_forward_sums_all_segmentations():
     def brute(word):
         text = "▁" + word
         by = {}
-        for s, e, p in pieces.matches(word):
+        for s, e, p in zip(*pieces.matches(word)):
             by.setdefault(s, []).append((e, p))
 
         def walk(at):
@@ -410,14 +425,44 @@ def test_forward_sums_all_segmentations():
         return walk(0)
 
     words = ["a", "ab", "abab", "bca", "aba"]
-    assert np.allclose(langid.Lattice(pieces, words).likelihood(theta), [brute(w) for w in words])
-    assert np.allclose(langid.scaled(pieces, "abab", theta), np.log(brute("abab")))
+    assert np.allclose(langid.Lattice(pieces, words).log_likelihood(theta), np.log([brute(w) for w in words]))
+    assert np.allclose(langid.long_log_likelihood(pieces, "abab", theta), np.log(brute("abab")))
     # expected uses of pieces cover each letter (and the mark) once
     uses = langid.Lattice(pieces, ["abab"]).expected(theta, np.ones((1, 2)))
     lengths = np.array([len(n) for n in pieces.names] + [1])
     assert np.allclose((uses * lengths[:, None]).sum(axis=0), 5)
 
 
+def test_words_of_any_length_are_summed_exactly():
+    """Against a forward pass in decimals, which can neither overflow nor underflow."""
+    from decimal import Decimal
+
+    pieces = langid.Pieces(sorted(["▁a", "a", "b", "ab", "▁ab", "ba", "abba"]))
+    theta = np.full((len(pieces.names) + 1, 2), 1e-9)
+    theta[:-1] = np.random.default_rng(0).uniform(0.01, 0.2, (len(pieces.names), 2))
+    model = langid.Model(["x", "y"], theta, np.zeros(2), pieces.names).start()
+    for word in [c * n for c in ("ñ", "ab", "abñ") for n in (12, 13, 14, 39, 40, 41, 500)]:
+        exact = []
+        for k in range(2):
+            alpha = [Decimal(1)] + [Decimal(0)] * (len(word) + 1)
+            for s, e, p in zip(*(v.tolist() for v in pieces.matches(word))):
+                alpha[e] += alpha[s] * Decimal(float(theta[p, k]))
+            exact.append(float(alpha[-1].ln()))
+        model._learn_words({word})
+        assert np.allclose(model.logs[model.known[word]], exact, rtol=1e-12), word
+        if len(word) <= langid.vector_letters(theta):
+            one = langid.Lattice(pieces, [word]).expected(theta, np.array([[2.0, 3.0]]))
+            assert np.allclose(langid.long_expected(pieces, word, theta, np.array([2.0, 3.0])), one)
+
+
+def test_langid_ties_and_too_many_languages(spark, docs):
+    tie = langid.Model(["aa", "bb"], np.full((2, 2), 0.5), np.zeros(2), ["x"])
+    assert {(r["lang_pred"], r["score"]) for r in langid.predict(docs.where("doc_id = 1"), tie).collect()} == {("aa", 0.5)}
+    many = spark.range(langid.MOST_LANGUAGES + 1).selectExpr("id as doc_id", "'text' as text", "cast(id as string) as lang")
+    with pytest.raises(ValueError, match="over 1000 values"):
+        langid.learn(many, F.lit(True))
+
+
 def test_langid(spark, docs, nothing):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.learn(real, fold("doc_id", 4) != 2, per_language=40)
