@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cellweave.runtime import ship
 
-__all__ = ["CHUNK_CHARS", "blocks", "crc_fold", "durable", "fold", "resident", "ship", "table"]
+__all__ = ["CHUNK_CHARS", "blocks", "crc_fold", "durable", "fold", "release", "resident", "scratch", "ship", "table"]
 
 #: Rows that one Python task handles at a time when it needs a block of texts in memory, in characters.
 CHUNK_CHARS = 1_000_000
@@ -24,12 +25,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder that ``spark.checkpoint.dir`` names.
 
-    A folder of this process's own is set only where the session names none (tests, local mode).
+    A folder of this process's own is set only in local mode (tests), where the session names none; on a
+    cluster that is an error, since executors would write to disks of their own.
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cellweave-checkpoint-"))
-    return df.checkpoint(eager=True)
+    made = df.checkpoint(eager=True)
+    for held in _SCRATCH[-1:]:
+        held.append(made)
+    return made
+
+
+def release(df: DataFrame) -> None:
+    """Delete the checkpoint that ``durable`` made: for frames that nothing reads any more."""
+    jvm, rdd = df.sparkSession.sparkContext._jvm, df._jdf.queryExecution().logical().rdd()
+    file = rdd.getCheckpointFile()
+    if file.isDefined():
+        path = jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch(*finished: DataFrame) -> Iterator[list[DataFrame]]:
+    """Checkpoints made inside are deleted at the end, but for those taken out of the list that this gives.
+
+    ``finished``: further checkpoints to delete then.
+    """
+    held: list[DataFrame] = []
+    _SCRATCH.append(held)
+    try:
+        yield held
+    finally:
+        _SCRATCH.pop()
+    for df in (*held, *finished):
+        release(df)
 
 
 _RESIDENT: dict = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import durable
+from cellweave.llm.common import durable, release
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,7 +19,7 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     Alternates two star contractions until the edges no longer change: each node hands its larger neighbours,
     then its smaller ones, to its smallest neighbour. Minima are pre-aggregated before the shuffle; a hub's
     rows are split by the adaptive skew join. Each round ends in a checkpoint, so that a lost executor repeats
-    one round at most. Nodes without edges, loops and repeated edges are allowed; null ends are dropped.
+    one round at most, and then deletes the checkpoints before it. Nodes without edges, loops and repeated edges are allowed; null ends are dropped.
     """
     now = durable(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _state(now)
@@ -33,7 +33,9 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
         joined = large.join(down, large.a == down.k)
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(down.select(F.col("k").alias("a"), F.col("m").alias("b"))).distinct()
-        now = durable(small)
+        before, now = now, durable(small)
+        release(before)
+        release(large)
         after = _state(now)
         if after == state:
             break
