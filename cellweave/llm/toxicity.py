@@ -1,19 +1,27 @@
 """Toxicity by weak supervision.
 
-Voters are lexicon words and word-beginning patterns: those given as a public lexicon, and those that
-labelled training texts single out, in whatever language. A voter says "toxic" where it fires and abstains
-elsewhere; a label, where there is one, is one more voter. A generative model of the votes estimates, by
-expectation-maximisation, how often each voter fires in toxic and in other texts, and discounts voters by
-how much they repeat each other (their correlations among texts of one class). Its posteriors are the labels
-on which a linear classifier over the voters is trained; the classifier scores every whole text.
-
-Learning is bounded: ``per_class`` labelled documents of each label, those with the smallest hashes of their
-ids, and ``max_voters`` voters. Voters' counts are gathered on the executors. The driver holds the sample's
-votes (rows x voters bytes), no texts. Scoring reads each text once, without a shuffle.
-
-Defined results. Null or empty text: scored as a text in which no voter fires. Labels that are null, or not 0 or 1,
-are not learned from; a document with several labels gives a row for each. No labels of both kinds: every
-score is 0. Repeated rows are scored alike.
+Voters vote "toxic" or "clean" where they fire and abstain elsewhere. Some need no labels: a public lexicon of
+insults in four languages (a voter for each word), patterns (insults with letters replaced by digits or drawn out,
+insults addressed to "you"), and for "clean" courteous words and formal lines. Others are mined: words and word
+beginnings that fire far more often in one class of the labelled training texts, in whatever language. A label,
+where there is one, is one more voter, which may be wrong like any other.
+
+A generative model of the votes is fitted by expectation-maximisation, with the class unknown. Given the class, a
+voter's vote depends on at most one other voter's: the pairs that depend on each other most (a maximum spanning tree
+over conditional mutual information, without the pairs that chance explains) are in the likelihood, so voters that
+repeat each other are not counted twice. Posteriors are exact. They start from the plain majority of the votes and
+are the soft labels on which a linear classifier over the voters is trained; that classifier scores every whole text.
+
+Learning is bounded by one parameter: ``per_class`` labelled documents of each label, those with the smallest hashes
+of their ids (whole texts of any length). All voters with significant evidence of their own are kept: texts in which
+``COVER`` stronger voters fire do not speak for another, so that a group of copies supports a few voters and not all
+of its words. The sample bounds their number. Counts are gathered on the executors. The driver holds the sample's votes (rows x
+voters bytes) and a few matrices of voters x voters, no texts. Scoring reads each text once, without a shuffle.
+
+Defined results. Null or empty text: scored as a text in which no voter fires. Texts of any length are scored whole.
+Labels that are null, or not 0 or 1, are not learned from; a document with several labels gives a row for each. No
+labels of both kinds: every score is 0. Repeated rows are scored alike. An empty table gives an empty result. The
+output replaces a kept column of its name; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -30,15 +38,44 @@ from pyspark.sql import functions as F
 
 from cellweave.llm.common import blocks, durable, fold, resident, ship, table
 
-#: Bounds of learning: labelled documents of each class, and voters.
-PER_CLASS, MAX_VOTERS = 8000, 256
+#: The bound of learning: labelled documents of each class.
+PER_CLASS = 8000
 #: Lengths of word beginnings that may become patterns; shortest word.
 BEGINNINGS, SHORTEST = (3, 4, 5, 6, 7), 3
-#: A small public lexicon of insults: voters from the start, whatever the labels say.
-LEXICON = ("idiot", "moron", "stupid", "scum", "loser", "trash", "pathetic", "worthless", "disgusting")
+#: A small public lexicon of insults in English, German, French and Spanish.
+LEXICON = (
+    "idiot", "moron", "stupid", "scum", "loser", "trash", "pathetic", "worthless", "disgusting", "imbecile", "dumbass", "bastard", "asshole", "jerk", "filth", "vermin",
+    "dummkopf", "idioten", "abschaum", "arschloch", "trottel", "versager", "depp", "drecksack", "widerlich", "wertlos",
+    "imbécile", "crétin", "connard", "salaud", "ordure", "abruti", "débile", "raclure", "minable", "dégoûtant",
+    "idiota", "estúpido", "imbécil", "basura", "cabrón", "escoria", "inútil", "asqueroso", "patético", "gilipollas",
+)
+#: Words of courtesy, which vote "clean".
+COURTEOUS = ("please", "thanks", "thank", "kindly", "welcome", "bitte", "danke", "merci", "bonjour", "gracias", "favor")
+ADDRESSED = re.compile(r"\b(?:you|your|du|dein|tu|ton|eres|tus?)\W+(?:\w+\W+){0,2}?(" + "|".join(LEXICON) + r")\b")
+FORMAL = re.compile(r"\b(?:licensed under|copyright|all rights reserved|terms of use)\b")
+SHOUTED = re.compile(r"!{3,}|\?!+\?")
+#: A mined voter must fire more often in one class than chance lets it with probability exp(-SIGNIFICANT).
+SIGNIFICANT = 7.0
+#: Voters that may fire in a text before it stops to speak for further ones.
+COVER = 3
 THRESHOLD = 0.7
 REMEMBERED = 300_000
 WORD = re.compile(r"\w+")
+TOXIC, CLEAN = 1, 2
+_PLAIN = str.maketrans("0134578@$!", "oieastbasi")
+
+
+def spelled(word: str) -> str:
+    """A word with digits for letters and drawn-out letters undone."""
+    return re.sub(r"(\w)\1{2,}", r"\1", word.translate(_PLAIN))
+
+
+#: Voters over whole texts (in lower case), by name; the sign of their vote.
+PATTERNS = {
+    "<addressed>": (TOXIC, lambda text: ADDRESSED.search(text) is not None),
+    "<shouted>": (TOXIC, lambda text: SHOUTED.search(text) is not None),
+    "<formal>": (CLEAN, lambda text: FORMAL.search(text) is not None),
+}
 
 
 def features(word: str) -> list[str]:
@@ -46,8 +83,8 @@ def features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) >= n)]
 
 
-def mine(sample: DataFrame, max_voters: int, per_class: dict[int, int], lexicon: tuple[str, ...]) -> list[str]:
-    """Features that fire far more often in texts labelled toxic: at most ``max_voters``, the lexicon's among them."""
+def mine(sample: DataFrame, per_class: dict[int, int]) -> dict[str, int]:
+    """Words and beginnings that tell one class of the sample's labels from the other, with their votes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,23 +97,28 @@ def mine(sample: DataFrame, max_voters: int, per_class: dict[int, int], lexicon:
 
     counts = sample.select("t", "y").mapInArrow(count, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     p, n = float(per_class[1]), float(per_class[0])
-    least = max(3, int(0.004 * p))
-    precise = (F.col("pos") / p) / (F.col("pos") / p + F.col("neg") / n + 0.5 / n)
-    worth = F.col("pos") / p - 4 * F.col("neg") / n
-    # of nested beginnings that fire alike one would do; the rest give the model its correlated voters
-    best = counts.where((F.col("pos") >= least) & (precise >= 0.9)).orderBy(worth.desc(), F.length("f"), "f").limit(max_voters).select("f").collect()
-    found = dict.fromkeys(w for w in lexicon)
-    for r in best:
-        found.setdefault(r["f"])
-    return list(found)[:max_voters]
+
+    def telling(mine_: str, other: str, own: float, rest: float):
+        """Fires at least 9 times as often in its class, and more often than chance lets it (Chernoff's bound)."""
+        fires = F.col("pos") + F.col("neg")
+        share, chance = F.col(mine_) / fires, own / (own + rest)
+        bound = F.col(mine_) * F.log(share / chance) + F.when(F.col(other) > 0, F.col(other) * F.log((1 - share) / (1 - chance))).otherwise(0.0)
+        return (F.col(mine_) / own >= 9 * (F.col(other) + 0.5) / rest) & (bound >= SIGNIFICANT)
+
+    # a voter for "clean" must speak of many texts: its silence, too, is a vote
+    clean = telling("neg", "pos", n, p) & (F.col("neg") >= 0.02 * n)
+    found = counts.select("f", F.when(telling("pos", "neg", p, n), TOXIC).when(clean, CLEAN).alias("vote")).where("vote is not null").collect()
+    return {r["f"]: r["vote"] for r in sorted(found, key=lambda r: (len(r["f"]), r["f"]))}
 
 
 class Voters:
-    """Which voters fire in a text."""
+    """Which voters fire in a text. Voters are words, beginnings ``abc*``, spellings ``~abc`` and ``PATTERNS``."""
 
     def __init__(self, names: list[str]):
         self.number = {f: i for i, f in enumerate(names)}
         self.lengths = sorted({len(f) - 1 for f in names if f.endswith("*")})
+        self.spelled = any(f.startswith("~") for f in names)
+        self.patterns = [(self.number[f], fires) for f, (_, fires) in PATTERNS.items() if f in self.number]
         self.known: dict[str, tuple[int, ...]] = {}
 
     def of_word(self, word: str) -> tuple[int, ...]:
@@ -86,67 +128,156 @@ class Voters:
             for n in self.lengths:
                 if len(word) >= n and (i := number.get(f"{word[:n]}*")) is not None:
                     hits.append(i)
+            if self.spelled and (plain := spelled(word)) != word and (i := number.get(f"~{plain}")) is not None:
+                hits.append(i)
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            got = self.known[word] = tuple(hits)
+            got = tuple(hits)
+            if len(word) <= 64:
+                self.known[word] = got
         return got
 
     def fired(self, text: str) -> list[int]:
-        out: set[int] = set()
-        for w in set(WORD.findall(text.lower())):
+        text = text.lower()
+        out = {i for i, fires in self.patterns if fires(text)}
+        for w in set(WORD.findall(text)):
             if got := self.of_word(w):
                 out.update(got)
         return sorted(out)
 
 
+def evidence(own: float, other: float, rows: float, other_rows: float) -> float:
+    """Nats by which a voter fires in its class beyond chance (Chernoff's bound on the probability of as much)."""
+    chance = rows / (rows + other_rows)
+    share = own / max(own + other, 1)
+    if share <= chance:
+        return 0.0
+    return own * np.log(share / chance) + (other * np.log((1 - share) / (1 - chance)) if other else 0.0)
+
+
+def telling_voters(votes: np.ndarray, labels: np.ndarray, toxic: np.ndarray, fixed: int, cover: int = COVER) -> np.ndarray:
+    """Positions of voters to keep: the first ``fixed``, and those with evidence of their own.
+
+    Mined voters come in the order of their evidence; texts of its class in which ``cover`` voters kept before
+    already fire do not speak for a voter. So a group of copies supports a few voters and not all of its words.
+    """
+    mine = [(-evidence(*(int(votes[labels == y, j].sum()) for y in ((1, 0) if toxic[j] else (0, 1))), *(int((labels == y).sum()) for y in ((1, 0) if toxic[j] else (0, 1)))), j) for j in range(fixed, votes.shape[1])]
+    keep = list(range(fixed))
+    covered = {side: votes[:, :fixed][:, toxic[:fixed] == side].sum(axis=1, dtype=np.int64) for side in (True, False)}
+    for _, j in sorted(mine):
+        side = bool(toxic[j])
+        own = labels == int(side)
+        open_ = own & (covered[side] < cover)
+        if evidence(int(votes[open_, j].sum()), int(votes[~own, j].sum()), int(own.sum()), int((~own).sum())) >= SIGNIFICANT:
+            keep.append(j)
+            covered[side] += votes[:, j]
+    return np.array(keep, np.int64)
+
+
+def dependence(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Conditional mutual information (in nats, times the rows) of each two voters given the class."""
+    n = x.shape[1]
+    total = np.zeros((n, n))
+    x = x.astype(np.float32)
+    for w in (1 - q, q):
+        on = w.sum()
+        if on <= 0:
+            continue
+        both = ((x * w[:, None].astype(np.float32)).T @ x).astype(np.float64)
+        fire = np.diag(both).copy()
+        for a in (1, 0):
+            for b in (1, 0):
+                pair = both if a and b else fire[:, None] - both if a else fire[None, :] - both if b else on - fire[:, None] - fire[None, :] + both
+                pair = np.maximum(pair, 0)
+                alone = (fire if a else on - fire)[:, None] * (fire if b else on - fire)[None, :] / on
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    total += np.where((pair > 1e-9) & (alone > 0), pair * np.log(pair / alone), 0)
+    np.fill_diagonal(total, 0)
+    return np.maximum(total, 0)
+
+
+def tree_of(strength: np.ndarray, least: float = 8.0) -> np.ndarray:
+    """Each voter's parent in the maximum spanning forest of edges above ``least`` nats; -1 for roots. Parents come first in ``order``."""
+    n = len(strength)
+    parent, best, link = np.full(n, -1), np.full(n, -1.0), np.full(n, -1)
+    inside = np.zeros(n, bool)
+    for _ in range(n):
+        v = int(np.where(inside, -2.0, best).argmax())
+        inside[v] = True
+        if best[v] >= least:
+            parent[v] = link[v]
+        better = ~inside & (strength[v] > best)
+        best[better], link[better] = strength[v][better], v
+    return parent
+
+
 @dataclass
 class LabelModel:
-    """Class balance, firing rates (voters, 2) in other and toxic texts, and each voter's discount."""
+    """Class balance; each voter's parent; P(fires | parent silent or firing, class); the label's accuracies."""
 
     balance: float
-    rates: np.ndarray
-    discount: np.ndarray
-    gold: np.ndarray  # [P(label 1 | other), P(label 1 | toxic)]
+    parent: np.ndarray  # (voters), -1: none
+    rates: np.ndarray  # (voters, 2: parent fires, 2: toxic)
+    gold: np.ndarray  # P(label 1 | other, toxic)
 
     @classmethod
-    def fit(cls, votes: np.ndarray, labels: np.ndarray, rounds: int = 8) -> tuple[LabelModel, np.ndarray]:
-        """``votes`` (rows, voters) 0/1 and the labels' votes; returns the model and posteriors of toxic."""
-        q = np.where(labels == 1, 0.95, 0.05)
-        x = votes.astype(np.float32)
+    def fit(cls, votes: np.ndarray, labels: np.ndarray, toxic: np.ndarray, rounds: int = 8) -> tuple[LabelModel, np.ndarray]:
+        """``votes`` (rows, voters) 0/1, ``labels`` 1, 0 or -1 (none), ``toxic`` (voters): whether a voter votes toxic.
+
+        Returns the model and the rows' posteriors of toxic.
+        """
+        up, down = votes @ toxic.astype(np.float64) + (labels == 1), votes @ (~toxic).astype(np.float64) + (labels == 0)
+        q = np.where(up > down, 0.9, np.where(down > up, 0.1, 0.3))  # the majority's say
         model = None
-        for _ in range(rounds):
-            on, off = float(q.sum()), float((1 - q).sum())
-            rates = np.stack([((1 - q) @ x + 0.05) / (off + 1.0), (q @ x + 0.5) / (on + 1.0)], axis=1).clip(1e-6, 1 - 1e-6)
-            # correlations among the toxic texts: what two voters share beyond their class
-            centred = (x - rates[:, 1]) * np.sqrt(q)[:, None].astype(np.float32)
-            cov = centred.T @ centred / max(on, 1.0)
-            spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            corr = np.abs(cov / spread[:, None] / spread[None, :])
-            discount = 1.0 / np.maximum(1.0, np.where(corr > 0.1, corr, 0).sum(axis=1))
-            y = labels == 1
-            gold = np.array([((1 - q) @ y + 0.5) / (off + 1.0), (q @ y + 0.5) / (on + 1.0)]).clip(0.001, 0.999)
-            # labels are the anchor: they may be wrong now and then, never the other way round
-            gold = np.array([min(gold[0], 0.2), max(gold[1], 0.8)])
-            model = cls(min(max(on / (on + off), 1e-4), 0.9999), rates, discount, gold)
+        for r in range(rounds):
+            model = cls.given(votes, labels, q, tree_of(dependence(votes, q)) if r in (0, rounds // 2) else model.parent)
             q = model.posterior(votes, labels)
         return model, q
 
+    @classmethod
+    def given(cls, votes: np.ndarray, labels: np.ndarray, q: np.ndarray, parent: np.ndarray) -> LabelModel:
+        """The model that fits posteriors best, with pseudo-counts."""
+        x = votes.astype(np.float64)
+        above = np.where(parent >= 0, x[:, np.maximum(parent, 0)], 0)
+        w = np.stack([1 - q, q])  # (class, rows)
+        on = w.sum(axis=1)
+        alone = ((w @ x + np.array([[0.05], [0.5]])) / (on[:, None] + 1.0)).T  # (voters, class)
+        rates = np.empty((x.shape[1], 2, 2))
+        for a in (0, 1):
+            there = above == a
+            fires = np.stack([(v[:, None] * there * x).sum(axis=0) for v in w], axis=1)
+            rows = np.stack([(v[:, None] * there).sum(axis=0) for v in w], axis=1)
+            rates[:, a] = (fires + 2.0 * alone) / (rows + 2.0)
+        known = labels >= 0
+        # the label's prior: right in 9 of 10 cases, worth a tenth of the rows
+        worth = 0.1 * known.sum()
+        gold = np.array([(w[0, known] @ (labels[known] == 1) + 0.1 * worth + 1) / (w[0, known].sum() + worth + 2), (w[1, known] @ (labels[known] == 1) + 0.9 * worth + 1) / (w[1, known].sum() + worth + 2)])
+        return cls(float(min(max(on[1] / on.sum(), 1e-4), 0.9999)), parent, rates.clip(1e-6, 1 - 1e-6), gold)
+
     def posterior(self, votes: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
-        fire = np.log(self.rates[:, 1] / self.rates[:, 0]) * self.discount
-        silent = np.log((1 - self.rates[:, 1]) / (1 - self.rates[:, 0])) * self.discount
-        score = votes @ (fire - silent) + silent.sum() + np.log(self.balance / (1 - self.balance))
+        """P(toxic | votes), exactly."""
+        fire, silent = np.log(self.rates[:, :, 1] / self.rates[:, :, 0]), np.log((1 - self.rates[:, :, 1]) / (1 - self.rates[:, :, 0]))
+        table = np.stack([silent, fire], axis=2).reshape(-1, 4)  # by 2 x parent fires + fires
+        voters = np.arange(votes.shape[1])
+        score = np.full(len(votes), np.log(self.balance / (1 - self.balance)))
+        for at in range(0, len(votes), 1024):
+            x = votes[at : at + 1024].astype(np.int64)
+            above = np.where(self.parent >= 0, x[:, np.maximum(self.parent, 0)], 0)
+            score[at : at + 1024] += table[voters, 2 * above + x].sum(axis=1)
         if labels is not None:
-            score = score + np.where(labels == 1, np.log(self.gold[1] / self.gold[0]), np.log((1 - self.gold[1]) / (1 - self.gold[0])))
+            say = np.array([np.log((1 - self.gold[1]) / (1 - self.gold[0])), np.log(self.gold[1] / self.gold[0]), 0.0])  # 0, 1, none
+            score = score + say[np.where(labels >= 0, labels, 2)]
         return 1 / (1 + np.exp(-score.clip(-500, 500)))
 
 
 @dataclass
 class Model:
-    """The linear classifier: a weight for each voter, for any voter at all and for how many, and a constant."""
+    """The linear classifier: a weight for each voter, for any toxic vote at all and for how many, and a constant."""
 
     names: list[str]
     weights: np.ndarray
     label_model: LabelModel | None = None
+    toxic: np.ndarray | None = None
 
     def start(self) -> Model:
         self.voters = Voters(self.names)
@@ -156,13 +287,16 @@ class Model:
         if not len(self.weights):
             return 0.0
         w, fired = self.weights, self.voters.fired(text or "")
-        total = w[-1] + (w[fired].sum() + w[-3] + w[-2] * np.log1p(len(fired)) if fired else 0.0)
+        total = w[-1]
+        if fired:
+            bad = int(self.toxic[fired].sum())
+            total += w[fired].sum() + (w[-3] if bad else 0.0) + w[-2] * np.log1p(bad)
         return float(1 / (1 + np.exp(-min(max(total, -500.0), 500.0))))
 
 
-def inputs(votes: np.ndarray) -> np.ndarray:
-    fired = votes.sum(axis=1)
-    return np.column_stack([votes, fired > 0, np.log1p(fired), np.ones(len(votes))]).astype(np.float64)
+def inputs(votes: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    bad = votes[:, toxic].sum(axis=1)
+    return np.column_stack([votes, bad > 0, np.log1p(bad), np.ones(len(votes))]).astype(np.float64)
 
 
 def logistic(x: np.ndarray, q: np.ndarray, ridge: float = 0.3, rounds: int = 12) -> np.ndarray:
@@ -180,7 +314,7 @@ def logistic(x: np.ndarray, q: np.ndarray, ridge: float = 0.3, rounds: int = 12)
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, training: Column, *, text: str = "text", ident: str = "doc_id", label: str = "toxic", per_class: int = PER_CLASS, max_voters: int = MAX_VOTERS, lexicon: tuple[str, ...] = LEXICON, seed: int = 9) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, training: Column, *, text: str = "text", ident: str = "doc_id", label: str = "toxic", per_class: int = PER_CLASS, lexicon: tuple[str, ...] = LEXICON, seed: int = 9) -> Model:
     """Fit on labelled rows where ``training`` (an expression over the labels' columns) holds."""
     spark = docs.sparkSession
     ship(spark)
@@ -194,7 +328,9 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, *, text: str = "
     counts = {0: 0, 1: 0} | {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not counts[0] or not counts[1]:
         return Model([], np.zeros(0))
-    names = mine(sample, max_voters, counts, lexicon)
+    given = {w: TOXIC for w in lexicon} | {f"~{w}": TOXIC for w in lexicon} | {w: CLEAN for w in COURTEOUS} | {f: v for f, (v, _) in PATTERNS.items()}
+    polarity = given | {f: v for f, v in mine(sample, counts).items() if f not in given}
+    names = list(polarity)
     shared = spark.sparkContext.broadcast(names)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +344,12 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, *, text: str = "
     votes = np.zeros((len(y), len(names)), np.uint8)
     lists = found.column("fired").combine_chunks()
     votes[np.repeat(np.arange(len(y)), np.asarray(lists.value_lengths())), np.asarray(lists.flatten())] = 1
-    order = np.lexsort([*votes.T[:8], y])  # sums do not depend on the order in which rows came
-    label_model, q = LabelModel.fit(votes[order], y[order])
-    return Model(names, logistic(inputs(votes[order]), q), label_model)
+    toxic = np.array([polarity[f] == TOXIC for f in names])
+    keep = telling_voters(votes, y, toxic, len(given))
+    names, votes, toxic = [names[i] for i in keep], votes[:, keep], toxic[keep]
+    order = np.lexsort([*votes.T[:: max(1, len(names) // 24)], votes.sum(axis=1), y])  # sums do not depend on the order in which rows came
+    label_model, q = LabelModel.fit(votes[order], y[order].astype(np.int64), toxic)
+    return Model(names, logistic(inputs(votes[order], toxic), q), label_model, toxic)
 
 
 def _started(shared) -> Model:
@@ -222,7 +361,7 @@ def _started(shared) -> Model:
 def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None, output: str = "score") -> DataFrame:
     """Columns ``keep`` (default: all) and the score, replacing a column of that name."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, Model(model.names, model.weights)))
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, Model(model.names, model.weights, None, model.toxic)))
     keep = [c for c in (keep if keep is not None else docs.columns) if c != output]
     source = docs.select(*[docs[c].alias(f"k{i}") for i, c in enumerate(keep)], docs[text].alias("body"))
     schema = ", ".join([*(f"k{i} {source.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep))), "s double"])

@@ -481,9 +481,56 @@ def test_label_model_finds_accuracies():
     votes = np.stack([np.where(y, rng.random(4000) < a, rng.random(4000) < b) for a, b in ((0.6, 0.01), (0.5, 0.02), (0.4, 0.01))] , 1).astype(np.uint8)
     votes = np.column_stack([votes, votes[:, 0]])  # a voter that repeats the first
     labels = np.where(rng.random(4000) < 0.05, ~y, y).astype(int)
-    model, q = toxicity.LabelModel.fit(votes, labels)
+    model, q = toxicity.LabelModel.fit(votes, labels, np.ones(4, bool))
     assert abs(model.balance - 0.2) < 0.05 and ((q > 0.5) == y).mean() > 0.93
-    assert model.discount[0] < 0.6 and model.discount[1] > 0.6
+    # the copy hangs on what it repeats and has no say of its own; the others are independent
+    assert sorted(model.parent) == [-1, -1, -1, max(model.parent)] and {3, 0} == {max(model.parent), int(np.argmax(model.parent))}
+    _, without = toxicity.LabelModel.fit(votes[:, :3], labels, np.ones(3, bool))
+    assert ((q > 0.5) == (without > 0.5)).mean() > 0.99 and np.abs(q - without).mean() < 0.01
+
+
+def test_label_model_needs_no_labels():
+    rng = np.random.default_rng(1)
+    y = rng.random(6000) < 0.3
+    bad = [np.where(y, rng.random(6000) < a, rng.random(6000) < 0.02) for a in (0.7, 0.6, 0.5)]
+    good = [np.where(y, rng.random(6000) < 0.05, rng.random(6000) < 0.6)]
+    votes = np.stack(bad + good, 1).astype(np.uint8)
+    model, q = toxicity.LabelModel.fit(votes, np.full(6000, -1), np.array([True] * 3 + [False]), rounds=30)
+    assert abs(model.balance - 0.3) < 0.05 and ((q > 0.5) == y).mean() > 0.93
+
+
+def test_posteriors_equal_the_joint_distribution():
+    """Every vote pattern of a small model: the probabilities multiply out, sum to one and give the posterior."""
+    rng = np.random.default_rng(2)
+    parent = np.array([-1, 0, 1, -1, 3])
+    model = toxicity.LabelModel(0.3, parent, rng.uniform(0.05, 0.95, (5, 2, 2)), np.array([0.1, 0.8]))
+    patterns = np.array([[i >> j & 1 for j in range(5)] for i in range(32)], np.uint8)
+
+    def joint(x, label, y):
+        p = model.balance if y else 1 - model.balance
+        for j, up in enumerate(parent):
+            rate = model.rates[j, x[up] if up >= 0 else 0, y]
+            p *= rate if x[j] else 1 - rate
+        return p * (model.gold[y] if label else 1 - model.gold[y])
+
+    assert np.isclose(sum(joint(x, label, y) for x in patterns for label in (0, 1) for y in (0, 1)), 1)
+    for label in (0, 1):
+        brute = [joint(x, label, 1) / (joint(x, label, 0) + joint(x, label, 1)) for x in patterns]
+        assert np.allclose(model.posterior(patterns, np.full(32, label)), brute)
+    unlabelled = [sum(joint(x, label, 1) for label in (0, 1)) / sum(joint(x, label, y) for label in (0, 1) for y in (0, 1)) for x in patterns]
+    assert np.allclose(model.posterior(patterns, np.full(32, -1)), unlabelled) and np.allclose(model.posterior(patterns), unlabelled)
+
+
+def test_copies_support_few_voters():
+    votes = np.zeros((400, 12), np.uint8)
+    labels = np.repeat([1, 0], [100, 300])
+    votes[:40, 1:9] = 1  # one text, copied: eight of its words
+    votes[40:80, 9] = votes[40:80, 10] = 1
+    votes[::50, 11] = 1  # chance
+    kept = toxicity.telling_voters(votes, labels, np.ones(12, bool), 1)
+    assert kept[0] == 0 and len(set(kept) & set(range(1, 9))) == toxicity.COVER and {9, 10} <= set(kept) and 11 not in kept
+    fires = toxicity.Voters(["idiot", "~idiot", "idi*", "<addressed>", "<formal>"]).fired
+    assert fires("You are an IDIOT") == [0, 2, 3] and fires("1d10t iiidiottt") == [1] and fires("Licensed under X") == [4] and fires("") == []
 
 
 def test_toxicity(spark, docs, nothing):
