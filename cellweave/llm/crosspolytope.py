@@ -10,22 +10,25 @@ Work is on distinct vectors, each with the number of its copies, so copies never
 with cosine 1. Inside a bucket no pairs are emitted: each block of a bucket is compared with each other block
 of it (a bucket of any size is cut into blocks of at most ``block`` rows, and only blocks of one bucket
 meet), and gives counts of links and edges that tie what is linked. A pair that meets in several buckets
-counts only in the first: both vectors carry all their keys. ``hashes`` grows with the number of vectors, so
-that buckets stay small, and ``tables`` grows with it to hold ``recall``.
+counts only in the first: the keys of the two vectors in the tables before are computed again where they meet, for
+linked vectors only, so rows carry nothing but the vector. ``hashes`` grows with the number of vectors, so that
+buckets stay small, and ``tables`` grows with it to hold ``recall``. What is shuffled is tables x (1 + probes) x the
+vectors; it grows with the number of tables, not with its square.
 
 Defined results. Vectors that are null, empty, zero, or hold null or non-finite components link with nothing;
 their rows come back with no links and themselves as component. Vectors of different lengths never link. A null
-vec_id: its row takes part in links, but can't name a component. Repeated rows count as further copies.
+vec_id: its row takes part in links, but can't name a component. Repeated rows count as further copies. Other
+columns, whatever their names, are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,7 +102,7 @@ def plan(vectors: int, width: int, cosine: float, recall: float, probes: int) ->
     factor 0.58 is measured. A pair meets in a table if all hashes agree, or in one of the probes.
     """
     axes = 2 * (1 << max(1, (width - 1).bit_length()))
-    hashes = max(1, min(4, math.ceil(math.log(max(2, vectors / 8)) / math.log(axes))))
+    hashes = max(1, min(62 // math.ceil(math.log2(axes)), math.ceil(math.log(max(2, vectors / 8)) / math.log(axes))))  # a key has 62 bits
     apart = 2 - 2 * cosine
     own = (0.58 * (axes / 2) ** -(apart / (4 - apart))) ** hashes
     meets = 1 - (1 - own) ** (1 + probes)
@@ -112,13 +115,8 @@ def usable(column: str) -> str:
     return f"case when {good} then {column} end"
 
 
-def _code(width: int, hashes: int) -> type:
-    """The integer type that holds a bucket's key."""
-    return np.int32 if (2 << max(1, (int(width) - 1).bit_length())) ** hashes < 2**31 else np.int64
-
-
 def _index(tables: int, hashes: int, probes: int, seed: int):
-    """Rows (node, n, vector) to a row for each bucket: (bucket, home, node, n, keys, vector)."""
+    """Rows (node, n, vec) with ``codes``: the vector's keys table by table, its own bucket first; -1 for a repeated one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,25 +124,22 @@ def _index(tables: int, hashes: int, probes: int, seed: int):
                 part = batch.slice(at, 1024)
                 counts = np.asarray(part.column(2).value_lengths())
                 for width in np.unique(counts):
-                    rows = np.flatnonzero(counts == width)
-                    some = part.take(pa.array(rows))
+                    some = part.take(pa.array(np.flatnonzero(counts == width)))
                     x = np.asarray(some.column(2).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width)
-                    keys = bucket_keys(x / np.linalg.norm(x, axis=1, keepdims=True), tables, hashes, probes, seed)
-                    n = len(rows)
-                    carried = pa.array([k.tobytes() for k in keys.reshape(n, -1).astype(_code(width, hashes))], pa.binary())
-                    for t in range(tables):
-                        for p in range(1 + probes):
-                            new = np.ones(n, bool) if p == 0 else (keys[:, t, p : p + 1] != keys[:, t, :p]).all(axis=1)
-                            pick = pa.array(np.flatnonzero(new))
-                            bucket = pa.array([f"{width}/{t}/{k}" for k in keys[new, t, p]], pa.string())
-                            yield pa.RecordBatch.from_arrays(
-                                [bucket, pa.array(np.full(int(new.sum()), int(p == 0), np.int32)), some.column(0).take(pick), some.column(1).take(pick), carried.take(pick), some.column(2).take(pick)],
-                                names=["bucket", "home", "node", "n", "codes", "vec"],
-                            )
+                    keys = bucket_keys(unit(x), tables, hashes, probes, seed)
+                    for p in range(1, 1 + probes):
+                        keys[:, :, p][(keys[:, :, p, None] == keys[:, :, :p]).any(axis=2)] = -1
+                    per = keys.shape[1] * keys.shape[2]
+                    codes = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * per), pa.array(keys.ravel()))
+                    yield pa.RecordBatch.from_arrays([*some.columns, codes], names=["node", "n", "vec", "codes"])
 
     return run
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
 def _first_meeting(kx: np.ndarray, ky: np.ndarray, t: int, key: int) -> np.ndarray:
     """For pairs with keys (m, tables, 1 + probes): whether table ``t``, bucket ``key`` is the first where they meet."""
     met = np.zeros(len(kx), bool)
@@ -161,19 +156,27 @@ def _first_meeting(kx: np.ndarray, ky: np.ndarray, t: int, key: int) -> np.ndarr
 Found = tuple[list, list, list]  # node, links, other: counts of links where other is null, else edges
 
 
-def _compare(bucket: str, rows: pa.RecordBatch | pa.Table, left: np.ndarray, right: np.ndarray | None, cosine: float, tables: int, hashes: int, probes: int, out: Found) -> None:
+@dataclass(frozen=True)
+class Hashing:
+    cosine: float
+    tables: int
+    hashes: int
+    probes: int
+    seed: int
+
+
+def _compare(rows: pa.RecordBatch | pa.Table, left: np.ndarray, right: np.ndarray | None, how: Hashing, out: Found) -> None:
     """Compare two sets of rows of a bucket (or one with itself, ``right`` None), and add what is found to ``out``."""
-    width, t, code = (int(v) for v in bucket.split("/"))
+    width, t, code = (rows.column(c)[0].as_py() for c in ("width", "t", "code"))
     whole = lambda name: c.combine_chunks() if isinstance(c := rows.column(name), pa.ChunkedArray) else c
-    x = np.asarray(whole("vec").flatten(), np.float64).reshape(rows.num_rows, width)
-    x = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    x = unit(np.asarray(whole("vec").flatten(), np.float64).reshape(rows.num_rows, width))
     second = left if right is None else right
-    home = codes = None
+    home = None
     edges: dict[int, int] = {}
     links: dict[int, int] = {}
     for lo in range(0, len(left), 512):
         some = left[lo : lo + 512]
-        a, b = np.nonzero(x[some] @ x[second].T >= cosine)
+        a, b = np.nonzero(x[some] @ x[second].T >= how.cosine)
         a, b = some[a], second[b]
         if right is None:
             a, b = a[a < b], b[a < b]
@@ -181,12 +184,18 @@ def _compare(bucket: str, rows: pa.RecordBatch | pa.Table, left: np.ndarray, rig
             continue
         if home is None:
             home, node, copies = (np.asarray(whole(n)) for n in ("home", "node", "n"))
-            codes = np.frombuffer(b"".join(whole("codes").to_pylist()), _code(width, hashes)).reshape(rows.num_rows, tables, 1 + probes)
+            spot = np.full(rows.num_rows, -1)  # where a row's keys are, once they are known
+            keys = np.empty((0, t + 1, 1 + how.probes), np.int64)
         ok = (home[a] + home[b] > 0) & (node[a] != node[b])
         a, b = a[ok], b[ok]
+        new = np.unique(np.concatenate([a, b]))
+        new = new[spot[new] < 0]
+        if len(new):
+            spot[new] = len(keys) + np.arange(len(new))
+            keys = np.concatenate([keys, bucket_keys(x[new], t + 1, how.hashes, how.probes, how.seed)])
         for at in range(0, len(a), 65536):
             p, q = a[at : at + 65536], b[at : at + 65536]
-            counted = _first_meeting(codes[p], codes[q], t, code)
+            counted = _first_meeting(keys[spot[p]], keys[spot[q]], t, code)
             p, q = p[counted], q[counted]
             for u, c in zip(np.concatenate([p, q]).tolist(), np.concatenate([copies[q], copies[p]]).tolist()) if len(p) < 64 else _summed(p, q, copies):
                 links[u] = links.get(u, 0) + c
@@ -213,7 +222,10 @@ def _table(out: Found) -> dict[str, pa.Array]:
     return {"node": pa.array(out[0], pa.int64()), "links": pa.array(out[1], pa.int64()), "other": pa.array(out[2], pa.int64())}
 
 
-def _verify_runs(cosine: float, tables: int, hashes: int, probes: int):
+BUCKET = ["width", "t", "code"]
+
+
+def _verify_runs(how: Hashing):
     """Over rows sorted by bucket, each bucket within one block: counts and edges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +233,7 @@ def _verify_runs(cosine: float, tables: int, hashes: int, probes: int):
             out: Found = ([], [], [])
             for lo, hi in zip(starts.tolist(), ends.tolist()):
                 if hi - lo > 1:
-                    rows = batch.slice(lo, hi - lo)
-                    _compare(rows.column(0)[0].as_py(), rows, np.arange(hi - lo), None, cosine, tables, hashes, probes, out)
+                    _compare(batch.slice(lo, hi - lo), np.arange(hi - lo), None, how, out)
             if out[0]:
                 yield pa.RecordBatch.from_pydict(_table(out))
 
@@ -232,8 +243,11 @@ def _verify_runs(cosine: float, tables: int, hashes: int, probes: int):
                 continue
             if open_ is not None:
                 batch = pa.concat_batches([open_, batch])
-            bucket = batch.column(0)
-            starts = np.concatenate([[0], np.flatnonzero(np.asarray(pc.not_equal(bucket[1:], bucket[:-1]))) + 1]).astype(np.int64)
+            changes = np.zeros(batch.num_rows - 1, bool)
+            for c in BUCKET:
+                values = batch.column(c).to_numpy()
+                changes |= values[1:] != values[:-1]
+            starts = np.concatenate([[0], np.flatnonzero(changes) + 1]).astype(np.int64)
             open_ = batch.slice(int(starts[-1]))
             yield from work(batch, starts[:-1], starts[1:])
         if open_ is not None:
@@ -242,14 +256,14 @@ def _verify_runs(cosine: float, tables: int, hashes: int, probes: int):
     return run
 
 
-def _verify_blocks(cosine: float, tables: int, hashes: int, probes: int):
+def _verify_blocks(how: Hashing):
     """One pair of blocks of a bucket too large for one block."""
 
     def run(key: tuple, found: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
+        i, j = key[-2].as_py(), key[-1].as_py()
         part = found.column("part").to_numpy()
         out: Found = ([], [], [])
-        _compare(key[0].as_py(), found, np.flatnonzero(part == i), None if i == j else np.flatnonzero(part == j), cosine, tables, hashes, probes, out)
+        _compare(found, np.flatnonzero(part == i), None if i == j else np.flatnonzero(part == j), how, out)
         return pa.table(_table(out))
 
     return run
@@ -286,18 +300,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, *, ident: str = "ve
     size = nodes.agg(F.count("*").alias("c"), F.max(F.size("vec")).alias("w"), F.min("node")).first()
     if size["c"]:
         hashes, tables = plan(size["c"], size["w"], cosine, recall, probes)
-        placed = nodes.select("node", "n", "vec").mapInArrow(_index(tables, hashes, probes, seed), f"bucket string, home int, node long, n long, codes binary, vec array<{kind}>")
-        placed = durable(placed)
-        # buckets beyond a block are counted first: at most rows / block of them
-        large = placed.groupBy("bucket").agg(F.count("*").alias("m")).where(F.col("m") > block).select("bucket", F.ceil(F.col("m") / block).cast("int").alias("parts"))
+        how = Hashing(cosine, tables, hashes, probes, seed)
+        coded = durable(nodes.select("node", "n", "vec").mapInArrow(_index(tables, hashes, probes, seed), f"node long, n long, vec array<{kind}>, codes array<long>"))
+        spread_out = lambda *more: coded.select(F.size("vec").alias("width"), F.posexplode("codes").alias("at", "code"), *more).where("code >= 0").withColumns({"t": F.expr(f"cast(at div {1 + probes} as int)"), "home": F.expr(f"cast(at % {1 + probes} = 0 as int)")}).drop("at")
+        # buckets beyond a block are counted first, from the keys alone: at most rows / block of them
+        large = spread_out().groupBy(*BUCKET).agg(F.count("*").alias("m")).where(F.col("m") > block).select(*BUCKET, F.ceil(F.col("m") / block).cast("int").alias("parts"))
         large = durable(large)
+        placed = spread_out("node", "n", "vec")
         schema = "node long, links long, other long"
-        whole = placed if large.isEmpty() else placed.join(large, "bucket", "left_anti")
-        checked = whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_verify_runs(cosine, tables, hashes, probes), schema)
+        whole = placed if large.isEmpty() else placed.join(large, BUCKET, "left_anti")
+        checked = whole.repartition(*BUCKET).sortWithinPartitions(*BUCKET).mapInArrow(_verify_runs(how), schema)
         if not large.isEmpty():
-            cut = placed.join(large, "bucket").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+            cut = placed.join(large, BUCKET).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
             spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
-            checked = checked.unionByName(spread.groupBy("bucket", "i", "j").applyInArrow(_verify_blocks(cosine, tables, hashes, probes), schema))
+            checked = checked.unionByName(spread.groupBy(*BUCKET, "i", "j").applyInArrow(_verify_blocks(how), schema))
         checked = durable(checked)
         counts = checked.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
         linked = components(checked.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))).withColumnRenamed("label", "c")

@@ -276,6 +276,22 @@ def test_cross_polytope_links(vectors):
     assert len(out) == 409 and crosspolytope.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_cross_polytope_recall_of_planted_pairs(spark):
+    """8,000 vectors, among them 1,500 planted pairs of cosine 0.90 to 0.93, just above the border."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(8000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(1500):
+        away = rng.normal(size=64)
+        away -= away @ x[i] * x[i]
+        c = rng.uniform(0.9, 0.93)
+        x[7999 - i] = c * x[i] + math.sqrt(1 - c * c) * away / np.linalg.norm(away)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in crosspolytope.near_duplicates(table).collect()}
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert want.sum() >= 2990 and sum(got.values()) / want.sum() >= 0.99 and all(got[i] <= w for i, w in enumerate(want))
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(0).normal(size=(5, 32))
     assert np.allclose(np.linalg.norm(crosspolytope.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
