@@ -21,14 +21,13 @@ gives an empty mixture. Columns named like the added ones are replaced by them i
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import table
 
-SPAN = 2.0**32
+#: Values of the hashes: 60 bits to order by, 52 for the uniform number.
+SPAN, UNIFORM = 2**60, 2.0**52
 
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, *, temperature: float = 0.5, source: str = "source", text: str = "text", epochs: float = 1.0) -> DataFrame:
@@ -54,9 +53,9 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, *, te
 
 
 def hashed(seed: int, *parts: str) -> str:
-    """SQL: 32 bits of md5 over the seed and the parts, as a long."""
+    """SQL: 60 bits of md5 over the seed and the parts, as a long."""
     joined = ", ".join([f"'{seed}'", *parts])
-    return f"cast(conv(substring(md5(concat_ws('|', {joined})), 1, 8), 16, 10) as bigint)"
+    return f"cast(conv(substring(md5(concat_ws('|', {joined})), 1, 15), 16, 10) as bigint)"
 
 
 def poisson_count(uniform: str, rate: str, k_max: int = 160) -> str:
@@ -73,7 +72,7 @@ def copies(docs: DataFrame, by_source: DataFrame, seed: int, *, ident: str = "do
     body = F.md5(F.coalesce(F.col(text), F.lit("")))
     cols = [F.col(c).alias(f"d{i}") for i, c in enumerate(docs.columns)] if carry else []
     base = docs.select(*cols, F.col(ident).alias("m_id"), F.col(source).alias("m_source"), F.coalesce(F.col(ident).cast("string"), F.lit("null")).alias("m_key"), body.alias("m_text"))
-    base = base.withColumn("u", (F.expr(hashed(seed, "m_key", "m_text")) + 0.5) / SPAN)
+    base = base.withColumn("u", (F.shiftright(F.expr(hashed(seed, "m_key", "m_text")), 8) + 0.5) / UNIFORM)
     slim = by_source.select(F.col("source").alias("r_source"), "rate", F.when(F.col("rate") > 64, F.floor(F.col("rate") - 32)).otherwise(F.lit(0)).cast("int").alias("sure"))
     slim = slim.withColumn("mean", F.col("rate") - F.col("sure"))
     drawn = base.join(slim, F.col("m_source").eqNullSafe(F.col("r_source"))).withColumn("n_copies", F.expr(f"cast(sure + {poisson_count('u', 'mean')} as int)")).where("n_copies > 0")
@@ -89,8 +88,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: i
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_source, names = rates(docs, weights, temperature=temperature, epochs=epochs, source=source, text=text), {"ident": ident, "source": source, "text": text}
-    span = math.ceil(SPAN / n)
-    dealt = lambda carry: copies(docs, by_source, seed, **names, carry=carry).withColumn("range", F.floor(F.col("spot") / span).cast("int"))
+    span = -(-SPAN // n)
+    dealt = lambda carry: copies(docs, by_source, seed, **names, carry=carry).withColumn("range", F.expr(f"cast(spot div {span}L as int)"))
     # rows of equal id and text tie in hash: the other columns decide, and rows equal in those too are alike
     rest = [F.xxhash64(f"d{i}") for i, f in enumerate(docs.schema) if "map<" not in f.dataType.simpleString()]
     order = ["spot", "m_key", "m_text", "copy", *rest]
@@ -104,41 +103,32 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: i
     return out.select(*cols, "copy", (F.col("before") + F.col("at") - 1).alias("place"))
 
 
-def op2_mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixture itself: all columns of the documents, copy, place (in the global order, from 0, unique)."""
-    return mix(table(spark, sf_dir, "documents"), placed=True)
-
-
 def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the draw of ``op2_mixed_documents``: doc_id, source, copy, n_copies, rate, spot (the 32-bit hash that orders the mixture; copies may share one)."""
-    docs = table(spark, sf_dir, "documents")
-    out = copies(docs, rates(docs), 17, carry=False)
-    return out.select(F.col("m_id").alias("doc_id"), F.col("m_source").alias("source"), "copy", "n_copies", F.round("rate", 9).alias("rate"), "spot")
+    """The mixture: all columns of the documents, ``copy`` (from 1) and ``place`` (in the global order, from 0, unique)."""
+    return mix(table(spark, sf_dir, "documents"), placed=True)
 
 
 #: The same rows in DuckDB. CAST to double keeps decimals out.
 OP2_SQL = """
 with sized as (
-  select doc_id, source, coalesce(text, '') as body, octet_length(encode(coalesce(text, '')))::bigint + 1 as size from documents),
+  select *, coalesce(text, '') as body, octet_length(encode(coalesce(text, '')))::bigint + 1 as size from documents),
 per as (select source, sum(size)::double as size, pow(sum(size)::double, 0.5::double) as raw from sized group by source),
 rates as (
   select source, raw / (sum(raw) over ()) * 1.0::double * (sum(size) over ()) / size as rate from per),
 drawn as (
-  select s.doc_id, s.source, r.rate, coalesce(s.doc_id::varchar, 'null') as k, md5(s.body) as b,
+  select s.*, r.rate, coalesce(s.doc_id::varchar, 'null') as k, md5(s.body) as b,
     case when r.rate > 64::double then floor(r.rate - 32::double) else 0::double end as sure
   from sized s join rates r on s.source is not distinct from r.source),
 hashed as (
-  select *, (('0x' || substr(md5(concat_ws('|', '17', k, b)), 1, 8))::bigint + 0.5::double) / 4294967296::double as u, rate - sure as mean from drawn),
+  select *, ((('0x' || substr(md5(concat_ws('|', '17', k, b)), 1, 15))::bigint >> 8) + 0.5::double) / 4503599627370496::double as u, rate - sure as mean from drawn),
 steps as (
-  select h.doc_id, h.source, h.k, h.b, h.rate, h.sure, h.u, h.mean,
+  select h.*,
     list_reduce(list_transform(range(1, 161), lambda i: {'i': i, 'p': 0::double, 'cdf': 0::double, 'n': 0::bigint}),
       lambda s, x: {'i': x.i, 'p': s.p * h.mean / x.i, 'cdf': s.cdf + s.p * h.mean / x.i,
                  'n': s.n + case when s.n = x.i and h.u >= s.cdf + s.p * h.mean / x.i then 1 else 0 end},
       {'i': 0::bigint, 'p': exp(-h.mean), 'cdf': exp(-h.mean), 'n': (case when h.u >= exp(-h.mean) then 1 else 0 end)::bigint}) as fin
   from hashed h),
-counted as (select *, (sure::bigint + fin.n)::integer as n_copies from steps where mean > 0::double),
-expanded as (select doc_id, source, k, b, rate, n_copies, unnest(range(1, n_copies::bigint + 1)) as copy from counted where n_copies > 0)
-select doc_id, source, copy::integer as copy, n_copies, round(rate, 9) as rate,
-  ('0x' || substr(md5(concat_ws('|', '18', k, b, copy::varchar)), 1, 8))::bigint as spot
-from expanded
+expanded as (select *, unnest(range(1, sure::bigint + fin.n + 1)) as copy from steps where mean > 0::double),
+spotted as (select *, ('0x' || substr(md5(concat_ws('|', '18', k, b, copy::varchar)), 1, 15))::bigint as spot from expanded)
+select doc_id, text, lang, source, n_chars, copy::integer as copy, row_number() over (order by spot, k, b, copy) - 1 as place from spotted
 """

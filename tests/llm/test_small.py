@@ -316,6 +316,23 @@ def test_forest_search(spark, vectors):
     assert ann.search(few, F.col("vec_id") == 0, k=20).count() == 3
 
 
+def test_forest_search_in_many_pieces_and_parts(spark, vectors):
+    """Small pieces, bins and parts give the same result; opening all of it, that of brute force, for each length."""
+    how = {"k": 5, "sample": 64, "leaf": 8, "recall": 1.0}
+    whole = {tuple(r) for r in ann.search(vectors, F.col("vec_id") % 20 == 0, **how).collect()}
+    cut = {tuple(r) for r in ann.search(vectors, F.col("vec_id") % 20 == 0, **how, piece=5, per_bin=40, per_bin_queries=3).collect()}
+    assert {r[:3] for r in whole} == {r[:3] for r in cut}
+    rng = np.random.default_rng(3)
+    two = {i: rng.normal(size=6 if i % 3 else 4) for i in range(200)}
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in two.items()], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r)[:3] for r in ann.search(table, F.col("vec_id") % 20 == 0, k=4, held=0).collect())
+    want = []
+    for q in range(0, 200, 20):
+        best = sorted((-float(two[q] @ two[v]), v) for v in two if v != q and len(two[v]) == len(two[q]))[:4]
+        want += [(q, r, v) for r, (_, v) in enumerate(best, 1)]
+    assert got == sorted(want)
+
+
 def test_forest_copies_give_the_smallest_ids(spark):
     rows = spark.createDataFrame([(i, [1.0, 0.0] if i % 3 else [0.0, 1.0]) for i in range(300)], "vec_id long, embedding array<double>")
     got = [r["vec_id"] for r in ann.search(rows, F.col("vec_id") == 1, k=5).orderBy("rank").collect()]
@@ -351,7 +368,7 @@ def test_mixed_documents_are_whole_and_in_order(spark, sf):
     from cellweave.llm.queries import QUERIES
 
     given = spark.read.parquet(f"{sf}/documents.parquet")
-    out, drawn = QUERIES["op2_mixed_documents"](spark, sf), QUERIES["op2_poisson_mix"](spark, sf).collect()
+    out, drawn = QUERIES["op2_poisson_mix"](spark, sf), mixing.copies(given, mixing.rates(given), 17, carry=False).withColumnRenamed("m_id", "doc_id").collect()
     assert out.columns == [*given.columns, "copy", "place"]
     rows = out.collect()  # by partition: in the order in which files are written
     assert [r["place"] for r in rows] == list(range(len(drawn)))
