@@ -412,31 +412,71 @@ def test_shards(spark, docs, nothing):
 # --- WARC ----------------------------------------------------------------------------------------------------
 
 
-def test_fixity(spark):
-    rows = [(i, f"http://h/{i}", f"<p>{i}é</p>") for i in range(300)] + [(None, None, None), (5, "http://h/5", "<p>again</p>"), (5, "http://h/5", "<p>again</p>")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("file", F.lit("x"))
-    bad = pages.withColumn("html", F.when(F.col("page_id").isin(17, 250), "rot").otherwise(F.col("html")))
-    got = warc.fixity(pages, bad, per_file=50, fanout=4).toPandas()
-    assert len(got) == 303 and set(got[got.status != "ok"].page_id) >= {17, 250}
-    clean = warc.fixity(pages, pages, per_file=50, fanout=4).toPandas()
-    assert (clean.status == "ok").all()
-    for _, f in clean.groupby("file"):
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [(i, f"http://x/{i}", f"<p>{i} {'wörd ' * (i % 40)}</p>") for i in range(300)] + [(5, "http://x/5", "<p>again</p>")] + [(7, None, None)] * 40 + [(None, None, f"{i % 20}") for i in range(200)] + [(None, "u", "")]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("file", F.lit("mine")).withColumn("name", F.lit("mine"))
+
+
+def merkle_root(leaves, fanout):
+    """Brute force: leaves (offset, length, digest) in order."""
+    now, first = list(leaves), True
+    while len(now) > 1:
+        now = [(kids[0][0], sum(k[1] for k in kids), hashlib.sha256(f"{kids[0][0]}|{sum(k[1] for k in kids)}|{'|'.join(k[2] for k in kids)}".encode()).hexdigest()) for kids in (now[i : i + fanout] for i in range(0, len(now), fanout))]
+    return now[0]
+
+
+def test_warc_places_and_roots(spark, pages):
+    leaves = warc.manifest(warc.archive(pages, 11))
+    out = warc.fixity(leaves, leaves, fanout=4).toPandas()
+    assert len(out) == 542 and (out.status == "ok").all() and out.name.nunique() == 542 and set(out.file) == set(range(11))
+    assert out.groupby("file").size().max() < 100  # null and repeated ids spread over the files
+    deepest = warc.depth(out.seq.max() + 1, 4)
+    for _, f in out.groupby("file"):
         f = f.sort_values("seq")
         assert list(f.seq) == list(range(len(f))) and list(f.off) == [0, *np.cumsum(f.len)[:-1]]
-        now = [(o, n, d) for o, n, d in zip(f.off, f.len, f.digest)]
-        while len(now) > 1 or now[0][2] != f.root.iloc[0]:
-            up = []
-            for i in range(0, len(now), 4):
-                kids = now[i : i + 4]
-                o, n = kids[0][0], sum(k[1] for k in kids)
-                up.append((o, n, hashlib.sha256(f"{o}|{n}|{'|'.join(k[2] for k in kids)}".encode()).hexdigest()))
-            now = up
-            assert len(now) >= 1 and len(f) < 10**4
-    # bytes of the same length: only the damaged records are reported
-    same = pages.withColumn("html", F.when(F.col("page_id") == 17, F.regexp_replace("html", "17", "71")).otherwise(F.col("html")))
-    found = warc.fixity(pages, same, per_file=50, fanout=4).where("status <> 'ok'").collect()
-    assert [r["page_id"] for r in found] == [17]
-    assert warc.fixity(pages.limit(0), pages.limit(0)).count() == 0
+        top = merkle_root(zip(f.off, f.len, f.digest), 4)
+        for _ in range(deepest - warc.depth(len(f), 4)):  # roots of all files stand on one level
+            top = (*top[:2], hashlib.sha256(f"{top[0]}|{top[1]}|{top[2]}".encode()).hexdigest())
+        assert top[2] == f.root.iloc[0]
+    none = warc.manifest(warc.archive(pages.limit(0), 1))
+    assert warc.fixity(none, none).count() == 0
+
+
+def test_warc_audit_names_every_kind_of_damage(spark, pages):
+    records = warc.archive(pages, 5, also=warc.fate())
+    got = warc.fixity(warc.manifest(records), warc.manifest(warc.decayed(records), ("after", "name")), fanout=4).toPandas()
+    mark = lambda r: {13: "changed", 29: "changed", 41: "missing"}.get(r % 97, "")
+    kinds = got[got.status != "extra"].set_index("name").status
+    ids = got[got.status != "extra"].set_index("name").id
+    for name, kind in kinds.items():
+        want = "" if ids[name] != ids[name] else mark(ids[name])
+        assert kind == want if want else kind in ("ok", "moved")
+    assert sorted(got[got.status == "extra"].id) == [53, 150, 247] and (kinds == "missing").sum() == 4 - 1 and "moved" in set(kinds)
+    # bytes of the same length: nothing else is even suspected
+    same = warc.archive(pages, 5, also={"bad": F.col("page_id") == 17})
+    flipped = same.withColumn("digest", F.when(F.col("bad"), F.reverse("digest")).otherwise(F.col("digest")))
+    found = warc.fixity(warc.manifest(same), warc.manifest(flipped), fanout=4).where("status <> 'ok'").collect()
+    assert [(r["id"], r["status"]) for r in found] == [(17, "changed")]
+
+
+def test_warc_files_are_read_as_written(spark, pages, tmp_path):
+    warc.write(pages, f"{tmp_path}/w", per_file=60)
+    files = sorted((tmp_path / "w").glob("file=*/*.txt"))
+    leaves, there = warc.manifest(warc.archive(pages, warc.files_for(pages, 60))), warc.read(spark, f"{tmp_path}/w/file=*/*.txt")
+    assert collections.Counter((r["url"], r["html"]) for r in there.collect()) == collections.Counter((r["url"] or "", r["html"] or "") for r in pages.collect())
+    assert sorted(map(tuple, leaves.select("file", "seq", "name", "off", "len", "record", "digest").collect())) == sorted(map(tuple, there.select("file", "seq", "name", "off", "len", "record", "digest").collect()))
+    raw = files[3].read_bytes()
+    head = raw.split(b"\r\n\r\n")[0].decode().split("\r\n")
+    assert head[0] == "WARC/1.1" and {line.split(":")[0] for line in head[1:]} >= {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Type", "Content-Length"}
+    target = leaves.where("id = 17").first()
+    path = next(f for f in files if f.parent.name == f"file={target['file']}")
+    raw = path.read_bytes()
+    at = raw.index(b"<p>17 ", target["off"])
+    path.write_bytes(raw[:at] + b"<p>71 " + raw[at + 6 :])
+    (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+    found = warc.fixity(leaves, there.withColumn("id", F.lit(None).cast("long")), fanout=4).where("status <> 'ok'").collect()
+    assert [(r["id"], r["status"]) for r in found] == [(17, "changed")]
 
 
 # --- learned models ------------------------------------------------------------------------------------------
