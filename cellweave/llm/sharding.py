@@ -16,7 +16,8 @@ part in this law: they are rows like any other and may land in different shards.
 
 Defined results. Null source: a source of its own. Null text: size 1, checksum 0, like an empty one. Null id:
 hashed as the text 'null'. Repeated rows each get a slot of their own. Fewer rows than shards: the first
-shards get one row each. An empty table gives an empty result.
+shards get one row each. Ties of the hash go by id; rows that tie in both are alike. Texts of any length are measured
+whole. Other columns, whatever their names, are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,9 +35,12 @@ def _ranked(rows: DataFrame, group: list[str], order: list[str], out: str) -> Da
     """Rank (from 1) of each row within ``group[:-1]``, by its last column's buckets and then ``order``."""
     # dealt by all columns of the group: a join before leaves a whole source in one task, which would do for what follows
     rows = rows.repartition(*group)
-    counts = rows.groupBy(*group).agg(F.count("*").alias("bucket_n"))
-    before = Window.partitionBy(*group[:-1]).orderBy(group[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.withColumn("bucket_first", F.coalesce(F.sum("bucket_n").over(before), F.lit(0))).drop("bucket_n")
+    counts = rows.groupBy(*group).agg(F.count("*").alias("bucket_n")).withColumn("hall", F.expr(f"{group[-1]} div {PER_BUCKET}"))
+    # running sums over halls of buckets first, and over the buckets of a hall: no task has all buckets
+    hall = [*group[:-1], "hall"]
+    earlier = lambda by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    halls = counts.groupBy(*hall).agg(F.sum("bucket_n").alias("hall_n")).select(*hall, F.coalesce(F.sum("hall_n").over(earlier(group[:-1], "hall")), F.lit(0)).alias("hall_first"))
+    first = counts.withColumn("in_hall", F.coalesce(F.sum("bucket_n").over(earlier(hall, group[-1])), F.lit(0))).join(halls, hall).select(*group, (F.col("hall_first") + F.col("in_hall")).alias("bucket_first"))
     inside = rows.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return inside.join(first, group).withColumn(out, F.col(out) + F.col("bucket_first")).drop("bucket_first")
 

@@ -479,6 +479,26 @@ def test_warc_files_are_read_as_written(spark, pages, tmp_path):
     assert [(r["id"], r["status"]) for r in found] == [(17, "changed")]
 
 
+def test_shards_equal_a_sort_of_everything(spark, docs):
+    """All shards and slots again, by sorting the whole table on the driver."""
+    table = docs.unionByName(spark.range(700).selectExpr("id + 100 as doc_id", "concat('text ', id % 90) as text", "'en' as lang", "case when id % 3 = 0 then 'hot' when id % 50 > 0 then concat('s', id % 7) end as source", "1L as n_chars"))
+    got = sharding.assign(clashing(table), 16, per_bucket=13).select("doc_id", "source", "shard", "slot").collect()
+    h = F.xxhash64(F.lit(5), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
+    rows = sorted(("null" if r["source"] is None else "=" + r["source"], r["h"], -1 if r["doc_id"] is None else r["doc_id"]) for r in table.withColumn("h", h).collect())
+    n = collections.Counter(r[0] for r in rows)
+    at, placed = collections.Counter(), []
+    for key, hash_, ident in rows:
+        at[key] += 1
+        placed.append(((at[key] - 0.5) / n[key], key, hash_, ident))
+    placed.sort()
+    want, slots = [], collections.Counter()
+    for place, (_, key, _, ident) in enumerate(placed):
+        shard = place * 16 // len(placed)
+        want.append((ident, key, shard, slots[shard]))
+        slots[shard] += 1
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], "null" if r["source"] is None else "=" + r["source"], r["shard"], r["slot"]) for r in got) == sorted(want)
+
+
 # --- learned models ------------------------------------------------------------------------------------------
 
 
