@@ -649,6 +649,81 @@ def test_folds(spark):
 # --- the pipeline --------------------------------------------------------------------------------------------
 
 
+def test_checkpoints_go_when_they_are_done_with(spark):
+    from pathlib import Path
+
+    from cellweave.llm.common import durable, release, scratch
+
+    def files():
+        root = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+        return {p.name for p in root.glob("rdd-*")}
+
+    first = durable(spark.range(5))
+    before = files()
+    with scratch(first) as held:
+        kept = durable(spark.range(6))
+        durable(spark.range(7))
+        held.remove(kept)
+    assert len(files() - before) == 1 and len(before - files()) == 1 and kept.count() == 6
+    release(kept)
+    assert not files() - before
+
+
+def test_pipeline_equals_brute_force(spark):
+    """All five stages again on the driver: scores text by text, all pairs of documents, every copy drawn one by one."""
+    import corpus_pipeline as p
+
+    from cellweave.llm.common import table
+
+    sf = "/root/testdata/sf0.001"
+    docs = [r.asDict() for r in table(spark, sf, "documents").collect()]
+    frame = lambda rows: spark.createDataFrame([(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in rows], DOCS)
+    toxic = toxicity.learn(frame(docs), table(spark, sf, "labels"), fold("doc_id", 3) != 1).start()
+    docs = [r for r in docs if toxic.score(r["text"]) < toxicity.THRESHOLD]
+    tongue = langid.learn(frame(docs), fold("doc_id", 4) != 2).start()
+    docs = [r for r in docs for lang, score in [tongue.predict([r["text"] or ""])[0]] if lang != "und" and score >= 0.5]
+
+    def words(text):
+        w = text.encode().lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [words(r["text"]) for r in docs]
+    root = list(range(len(docs)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = top(i), top(j)
+                root[max(a, b)] = min(a, b)
+    groups = collections.defaultdict(list)
+    for i, r in enumerate(docs):
+        groups[top(i)].append(r)
+    docs = [min(g, key=lambda r: r["doc_id"]) for g in groups.values()]
+    sizes = collections.Counter()
+    for r in docs:
+        sizes[r["source"]] += len(r["text"].encode()) + 1
+    roots, tok, want = sum(math.sqrt(v) for v in sizes.values()), library(), []
+    for r in docs:
+        rate = math.sqrt(sizes[r["source"]]) / roots * sum(sizes.values()) / sizes[r["source"]]
+        digest = hashlib.md5(f"17|{r['doc_id']}|{hashlib.md5(r['text'].encode()).hexdigest()}".encode()).hexdigest()
+        u, k, term, below = ((int(digest[:15], 16) >> 8) + 0.5) / 2**52, 0, math.exp(-rate), math.exp(-rate)
+        while u >= below:
+            k += 1
+            term *= rate / k
+            below += term
+        ids = np.array(tok.encode(r["text"], add_special_tokens=False).ids, "<u4").tobytes()
+        want += [(r["doc_id"], r["lang"], r["source"], len(ids) // 4, ids)] * k
+    got = [(r["doc_id"], r["lang"], r["source"], r["n_tokens"], bytes(r["token_ids"])) for r in p.run(spark, sf).collect()]
+    key = lambda r: (r[0], r[4])
+    assert len(got) > 50 and sorted(got, key=key) == sorted(want, key=key)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
 
