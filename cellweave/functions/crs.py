@@ -10,7 +10,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 A = 6378137.0
@@ -56,10 +56,14 @@ class Laea:
     def forward(cls, lon, lat, m: Maths = COLUMNS):
         beta = m.asin(_authalic(m.sin(m.radians(lat)), cls.e, m) / cls.qp)
         away = m.radians(lon) - cls.lon0
+        return cls.from_parts(m.sin(beta), m.cos(beta), m.sin(away), m.cos(away), m)
+
+    @classmethod
+    def from_parts(cls, sin_beta, cos_beta, sin_away, cos_away, m: Maths):
         s0, c0 = math.sin(cls.beta0), math.cos(cls.beta0)
-        b = m.sqrt((m.sin(beta) * s0 + m.cos(beta) * m.cos(away) * c0 + 1.0) ** -1.0 * 2.0) * cls.rq
-        x = b * cls.d * m.cos(beta) * m.sin(away) + cls.fe
-        y = b / cls.d * (m.sin(beta) * c0 - m.cos(beta) * m.cos(away) * s0) + cls.fn
+        b = m.sqrt((sin_beta * s0 + cos_beta * cos_away * c0 + 1.0) ** -1.0 * 2.0) * cls.rq
+        x = b * cls.d * cos_beta * sin_away + cls.fe
+        y = b / cls.d * (sin_beta * c0 - cos_beta * cos_away * s0) + cls.fn
         return x, y
 
     @classmethod
@@ -129,6 +133,23 @@ def project(lon: Column, lat: Column, code: int) -> tuple[Column, Column]:
     return projection(code).forward(lon, lat)
 
 
+def add_projected(df: DataFrame, lon: Column, lat: Column, code: int) -> DataFrame:
+    """``df`` with columns x, y of points in degrees, each intermediate value computed once for each row.
+
+    What filters and expressions above use is the result: it comes out of a generator, through which the optimiser
+    does not copy the formula into them.
+    """
+    others = [c for c in df.columns if c not in ("x", "y")]
+    t = df.withColumns({"__lon": lon, "__lat": lat})
+    if code == Laea.code:
+        t = t.withColumn("__s", F.sin(F.radians("__lat"))).withColumn("__beta", F.asin(_authalic(F.col("__s"), Laea.e, COLUMNS) / Laea.qp)).withColumn("__away", F.radians("__lon") - Laea.lon0)
+        t = t.withColumns({"__sb": F.sin("__beta"), "__cb": F.cos("__beta"), "__sa": F.sin("__away"), "__ca": F.cos("__away")})
+        x, y = Laea.from_parts(*(F.col(c) for c in ("__sb", "__cb", "__sa", "__ca")), COLUMNS)
+    else:
+        x, y = projection(code).forward(F.col("__lon"), F.col("__lat"))
+    return t.select(*others, F.inline(F.array(F.struct(x.alias("x"), y.alias("y")))))
+
+
 def transform_points(x, y, source: int, target: int):
     """numpy: from one CRS to another by way of degrees."""
     x, y = np.asarray(x, float), np.asarray(y, float)

@@ -137,43 +137,122 @@ def ring_cells(px: np.ndarray, py: np.ndarray, template: Template) -> list[tuple
     return out
 
 
-def shatter_rings(df: DataFrame, template: Template, uid: str = "src_uid", ring: str = "ring", centroid: bool = True) -> DataFrame:
-    """(src_uid, grid_idx, areal_fraction, centroid_grid_idx) of rings in the grid's CRS.
-
-    Whatever a ring's corners' order; a ring that is null, has under 3 corners or no area gives no rows.
+def _sums(px: np.ndarray, py: np.ndarray, nx: np.ndarray, ny: np.ndarray, first: np.ndarray, sizes: np.ndarray, xs: np.ndarray, ys: np.ndarray, corner_first: np.ndarray, corners: np.ndarray) -> np.ndarray:
+    """``corner_areas`` of many rings at once, each at corners of its own (flat): every edge with every corner of its ring."""
+    n = sizes * corners
+    ring = np.repeat(np.arange(len(sizes)), n)
+    k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    e, c = first[ring] + k // corners[ring], corner_first[ring] + k % corners[ring]
+    x0, y0, x1 = px[e], py[e], nx[e]
+    run = x1 - x0
+    slope = np.where(run != 0, (ny[e] - y0) / np.where(run != 0, run, 1), 0)
+    x, y = xs[c], ys[c]
+    a, b = np.minimum(x0, x), np.minimum(x1, x)
+    ya, yb = y0 + (a - x0) * slope, y0 + (b - x0) * slope
+    low, high = np.minimum(ya, yb), np.maximum(ya, yb)
+    share = np.clip((y - low) / np.where(high > low, high - low, 1), 0, 1)  # of the edge, below the cut
+    mean = np.where(high <= y, (low + high) / 2, np.where(low >= y, y, share * (low + y) / 2 + (1 - share) * y))
+    return -np.bincount(c, (b - a) * mean, minlength=len(xs))
+
+
+#: Edges times corners that are worked through at once; a ring with more goes through ``ring_cells`` by itself.
+AT_ONCE = 2_000_000
+
+
+def cut_rings(px: np.ndarray, py: np.ndarray, offsets: np.ndarray, template: Template) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rings (corners from ``offsets[i]`` to ``offsets[i + 1]``) as (ring, grid_idx, areal_fraction, centroid's cell)."""
+    g, r = template.grid, template.grid.resolution
+    top = math.floor((g.maxy - g.miny) / r - 0.5)
+    sizes = np.diff(offsets)
+    good = np.flatnonzero(sizes > 2)
+    out: list[tuple] = []
+    if not len(good):
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64, np.int64))
+    first, sizes = offsets[:-1][good], sizes[good]
+    pick = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+    px, py, first = px[pick], py[pick], np.cumsum(sizes) - sizes
+    follow = np.arange(len(px)) + 1
+    follow[first + sizes - 1] = first
+    # sums over far-off coordinates would lose digits: relative to the south-west corner of the ring's first cell
+    span = lambda v, how: how.reduceat(v, first)
+    place = lambda v, o, low, high: np.minimum(np.maximum(np.floor((v - o) / r), low), high - 1).astype(np.int64)
+    c0, c1 = place(span(px, np.minimum), g.minx, template.c0, template.c1), place(span(px, np.maximum), g.minx, template.c0, template.c1)
+    k0, k1 = place(span(py, np.minimum), g.miny, template.k0, template.k1), place(span(py, np.maximum), g.miny, template.k0, template.k1)
+    ox, oy = g.minx + c0 * r, g.miny + k0 * r
+    lx, ly = px - np.repeat(ox, sizes), py - np.repeat(oy, sizes)
+    nx, ny = lx[follow], ly[follow]
+    cross = lx * ny - nx * ly
+    whole = np.add.reduceat(cross, first) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cx, cy = (np.add.reduceat((v + w) * cross, first) / (6 * whole) for v, w in ((lx, nx), (ly, ny)))
+    area_of = np.abs(whole)
+    usable = np.isfinite(whole) & (whole != 0)
+    nudge = r * 1e-6
+    home_c = place(np.where(usable, ox + cx + nudge, g.minx), g.minx, template.c0, template.c1)
+    home_k = place(np.where(usable, oy + cy + nudge, g.miny), g.miny, template.k0, template.k1)
+    home = (top - home_k) * g.columns + home_c
+    wide, high = c1 - c0 + 2, k1 - k0 + 2  # corners along both axes
+    work = sizes * wide * high
+    small = np.flatnonzero(usable & (work <= AT_ONCE))
+    edges = np.searchsorted(np.cumsum(work[small]), np.arange(0, int(work[small].sum()) + AT_ONCE, AT_ONCE), side="right")
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        some = small[lo:hi]
+        if not len(some):
+            continue
+        m = wide[some] * high[some]
+        at = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        column, row = at % np.repeat(wide[some], m), at // np.repeat(wide[some], m)
+        mine = np.cumsum(m) - m
+        sums = _sums(lx, ly, nx, ny, first[some], sizes[some], column * r, row * r, mine, m)
+        # a cell's area from its four corners
+        w = np.repeat(wide[some], m)
+        inner = np.flatnonzero((column < w - 1) & (row < np.repeat(high[some], m) - 1))
+        step = w[inner]
+        area = np.abs(sums[inner + step + 1] - sums[inner + step] - sums[inner + 1] + sums[inner])
+        ring = np.repeat(some, m)[inner]
+        out.append((ring, (top - k0[ring] - row[inner]) * g.columns + c0[ring] + column[inner], area / area_of[ring]))
+    for i in np.flatnonzero(usable & (work > AT_ONCE)):
+        part = slice(first[i], first[i] + sizes[i])
+        cells = np.array(ring_cells(px[part], py[part], template)).reshape(-1, 3)
+        out.append((np.full(len(cells), i), ((top - cells[:, 1]) * g.columns + cells[:, 0]).astype(np.int64), cells[:, 2] / area_of[i]))
+    if not out:
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64, np.int64))
+    ring, cell, share = (np.concatenate([o[i] for o in out]) for i in range(3))
+    keep = share > SLIVER
+    ring, cell, share = ring[keep], cell[keep], share[keep]
+    order = np.argsort(ring, kind="stable")
+    return good[ring[order]], cell[order], share[order], home[ring[order]]
+
+
+def shatter(df: DataFrame, template: Template, ring: str = "ring") -> DataFrame:
+    """The columns of ``df`` but ``ring``, with grid_idx, areal_fraction and centroid_grid_idx: a row for each cell of a ring.
+
+    Rings are in the grid's CRS, whatever their corners' order. A ring that is null, has under 3 corners or no area,
+    or meets no cell, gives one row with nulls. Columns travel along: rows need no identity, nothing is joined.
     """
     ship(df.sparkSession)
-    g = template.grid
+    others = [c for c in df.columns if c not in (ring, "grid_idx", "areal_fraction", "centroid_grid_idx")]
+    source = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(others)], F.col(ring).alias("ring"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for name, corners in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if not corners.is_valid or len(corners) < 3:
-                    continue
-                flat = corners.values.flatten()
-                px, py = flat[0].to_numpy(zero_copy_only=False), flat[1].to_numpy(zero_copy_only=False)
-                ox, oy = float(px[0]), float(py[0])  # sums over far-off coordinates would lose digits
-                lx, ly = px - ox, py - oy
-                whole = ring_area(lx, ly)
-                if not whole:
-                    continue
-                cross = lx * np.roll(ly, -1) - np.roll(lx, -1) * ly
-                cx, cy = (o + float(((v + np.roll(v, -1)) * cross).sum() / (6 * whole)) for o, v in ((ox, lx), (oy, ly)))
-                top = math.floor((g.maxy - g.miny) / g.resolution - 0.5)
-                nudge = g.resolution * 1e-6
-                hc = min(max(math.floor((cx + nudge - g.minx) / g.resolution), template.c0), template.c1 - 1)
-                hk = min(max(math.floor((cy + nudge - g.miny) / g.resolution), template.k0), template.k1 - 1)
-                for c, k, area in ring_cells(px, py, template):
-                    if (share := area / abs(whole)) > SLIVER:
-                        out[0].append(name)
-                        out[1].append((top - k) * g.columns + c)
-                        out[2].append(share)
-                        out[3].append((top - hk) * g.columns + hc)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], batch.schema.field(0).type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.int64())], names=["src_uid", "grid_idx", "areal_fraction", "centroid_grid_idx"])
-
-    source = df.select(F.col(uid).alias("src_uid"), F.col(ring).alias("ring"))
-    made = source.mapInArrow(run, f"src_uid {source.schema['src_uid'].dataType.simpleString()}, grid_idx long, areal_fraction double, centroid_grid_idx long")
+            rings = batch.column(len(others))
+            flat = rings.flatten().flatten()
+            px, py = (f.to_numpy(zero_copy_only=False) for f in flat)
+            offsets = np.concatenate([[0], np.cumsum(np.nan_to_num(np.asarray(rings.value_lengths().to_numpy(zero_copy_only=False), float)))]).astype(np.int64)
+            row, cell, share, home = cut_rings(px, py, offsets, template)
+            lone = np.setdiff1d(np.arange(batch.num_rows), row)
+            pick, none = pa.array(np.concatenate([row, lone])), len(lone)
+            add = lambda v, t: pa.concat_arrays([pa.array(v, t), pa.nulls(none, t)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pick) for i in range(len(others))), add(cell, pa.int64()), add(share, pa.float64()), add(home, pa.int64())], names=[*(f"k{i}" for i in range(len(others))), "cell", "share", "home"])
+
+    made = source.mapInArrow(run, ", ".join([*(f"k{i} {source.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(others))), "cell long, share double, home long"]))
+    return made.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(others)], F.col("cell").alias("grid_idx"), F.col("share").alias("areal_fraction"), F.col("home").alias("centroid_grid_idx"))
+
+
+def shatter_rings(df: DataFrame, template: Template, uid: str = "src_uid", ring: str = "ring", centroid: bool = True) -> DataFrame:
+    """(src_uid, grid_idx, areal_fraction, centroid_grid_idx) of rings in the grid's CRS; rings without a cell give no rows."""
+    made = shatter(df.select(F.col(uid).alias("src_uid"), F.col(ring).alias("ring")), template).where("grid_idx is not null")
     return made if centroid else made.drop("centroid_grid_idx")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.functions.crs import project
+from cellweave.functions.crs import add_projected
 from cellweave.operators.grids import Grid, Template
 
 #: Names under which coordinates and uncertainty are looked for, in lower case.
@@ -55,8 +55,7 @@ def to_grid_crs(df: DataFrame, grid: Grid, lon: str | None = None, lat: str | No
         return df.withColumns({"x": F.col(lon).cast("double"), "y": F.col(lat).cast("double")})
     if source_epsg != 4326:
         raise ValueError(f"EPSG:{source_epsg} points must come in degrees or in the grid's CRS")
-    x, y = project(F.col(lon).cast("double"), F.col(lat).cast("double"), grid.epsg)
-    return df.withColumns({"x": x, "y": y})
+    return add_projected(df, F.col(lon).cast("double"), F.col(lat).cast("double"), grid.epsg)
 
 
 METHODS = {"intersect": Template.intersect, "kdtree": Template.nearest, "home": Template.home}

@@ -108,7 +108,7 @@ def map_source(df: DataFrame, grid: Grid, template: Template, topology: dict, ui
             ringed = boxes.geographic_rings(placed, lon, lat, "u", topology["quad_segs"])
         else:
             ringed = boxes.buffer_rings(placed, quad_segs=topology["quad_segs"])
-        return placed.join(boxes.shatter_rings(ringed, template), "src_uid", "left"), "areal_fraction"
+        return boxes.shatter(ringed, template), "areal_fraction"
     raise ValueError(f"no output type {kind!r}")
 
 

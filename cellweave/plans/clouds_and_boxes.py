@@ -39,7 +39,8 @@ def cloud_uniform_points(spark, sf_dir):
 
 @query("cloud_fractional", f"with {_GAUSS}, {_COUNTS} select src_uid, grid_idx, n / {float(PASSES)!r}::double as fraction from counts")
 def cloud_fractional(spark, sf_dir):
-    return clouds.fractional(_cloud(spark, sf_dir, "gaussian"), TEMPLATE, PASSES)
+    found = clouds.map_cloud(placed(spark, sf_dir).select("src_uid", "x", "y", "u"), TEMPLATE, passes=PASSES, distribution="gaussian")
+    return found.where("grid_idx is not null").select("src_uid", "grid_idx", "fraction")
 
 
 @query("cloud_fractional_attrs", f"with {_UNIFORM}, {_COUNTS} select o.src_uid, c.grid_idx, c.n / {float(PASSES)!r}::double as fraction, {cell_sql(TEMPLATE, 'o.x', 'o.y')} as src_grid_idx, o.specieskey from placed o left join counts c using (src_uid)")
@@ -102,9 +103,31 @@ def boxes_kdtree(spark, sf_dir):
     return areas.transform_cells(boxes(spark, sf_dir), COARSE, "value", "discrete", "kdtree", ["specieskey"])
 
 
-@query("polygon_fractional")
+def _west_and_south(x: str, y: str) -> str:
+    """DuckDB: the area that an edge (x0, y0) - (x1, y1) adds to that of its polygon west of x and south of y."""
+    k = "case when x1 <> x0 then (y1 - y0) / (x1 - x0) else 0 end"
+    a, b = f"least(x0, {x})", f"least(x1, {x})"
+    ya, yb = f"(y0 + ({a} - x0) * ({k}))", f"(y0 + ({b} - x0) * ({k}))"
+    low, high = f"least({ya}, {yb})", f"greatest({ya}, {yb})"
+    part = f"(({y} - {low}) / ({high} - {low}))"
+    return f"(({b} - {a}) * case when {high} <= {y} then ({low} + {high}) / 2 when {low} >= {y} then {y} else {part} * ({low} + {y}) / 2 + (1 - {part}) * {y} end)"
+
+
+_G, _RES = TEMPLATE.grid, repr(TEMPLATE.grid.resolution)
+_STEP = 2 * math.pi / 32
+#: Cells of 32-corner polygons around the points, by sums over edges at the four corners of each candidate cell.
+_POLYGONS = f"""boxes as (select src_uid, x, y, u, x - u as minx, y - u as miny, x + u as maxx, y + u as maxy from placed where u > 0),
+cand as (select *, {_G.minx!r}::double + c_ * {_RES}::double - x as west, {_G.miny!r}::double + k_ * {_RES}::double - y as south from (select *, unnest(range(floor((miny - {_G.miny!r}::double) / {_RES}::double)::bigint, floor((maxy - {_G.miny!r}::double) / {_RES}::double)::bigint + 1)) as k_ from
+  (select *, unnest(range(floor((minx - {_G.minx!r}::double) / {_RES}::double)::bigint, floor((maxx - {_G.minx!r}::double) / {_RES}::double)::bigint + 1)) as c_ from boxes)) where c_ between {TEMPLATE.c0} and {TEMPLATE.c1 - 1} and k_ between {TEMPLATE.k0} and {TEMPLATE.k1 - 1}),
+edges as (select i, cos(i * {_STEP!r}::double) as cx0, sin(i * {_STEP!r}::double) as cy0, cos((i + 1) % 32 * {_STEP!r}::double) as cx1, sin((i + 1) % 32 * {_STEP!r}::double) as cy1 from (select unnest(range(0, 32)) as i)),
+pairs as (select src_uid, x, y, u, c_, k_, west, south, west + {_RES}::double as east, south + {_RES}::double as north, u * cx0 as x0, u * cy0 as y0, u * cx1 as x1, u * cy1 as y1 from cand, edges),
+cut as (select src_uid, any_value(x) as x, any_value(y) as y, any_value(u) as u, c_, k_, abs(sum({_west_and_south('east', 'north')} - {_west_and_south('west', 'north')} - {_west_and_south('east', 'south')} + {_west_and_south('west', 'south')})) as area from pairs group by src_uid, c_, k_)"""
+
+
+@query("polygon_fractional", f"""with {PLACED}, {_POLYGONS}
+select src_uid, {id_sql(TEMPLATE, 'c_', 'k_')} as grid_idx, round(area / (16 * u * u * sin({_STEP!r}::double)), 6) as areal_fraction, {cell_sql(TEMPLATE, method='home')} as centroid_grid_idx from cut where area / (16 * u * u * sin({_STEP!r}::double)) > 0.000001""")
 def polygon_fractional(spark, sf_dir):
-    """32-corner polygons around the points, cut by the cells; SQL has no clipping, tests hold it against areas."""
+    """32-corner polygons around the points, cut by the cells."""
     ringed = areas.buffer_rings(placed(spark, sf_dir).where("u > 0"))
     out = areas.shatter_rings(ringed, TEMPLATE)
     return out.select("src_uid", "grid_idx", F.round("areal_fraction", 6).alias("areal_fraction"), "centroid_grid_idx")

@@ -205,3 +205,50 @@ def test_interpolation_of_every_order(spark, tmp_path, name, kernel, reach):
     assert max(want) > 2000 and set(want) <= set(got)
     for k, v in want.items():
         assert got[k] == pytest.approx(v, abs=1e-5)
+
+
+def _calls(df, name):
+    return df._jdf.queryExecution().optimizedPlan().toString().upper().count(f"{name}(")
+
+
+def test_projections_are_computed_once(spark, sf):
+    """Whatever filters, aggregates and joins stand above, no plan holds the formula more often than a bare projection does."""
+    from cellweave import registry
+
+    queries = registry.queries()
+    bare = _calls(queries["project_laea"](spark, sf), "ASIN")
+    assert bare == 1
+    for name in [n for n in queries if n.startswith("cube_")] + ["points_to_grid", "api_cube_sql", "sparse_cube", "cell_wkt"]:
+        assert _calls(queries[name](spark, sf), "ASIN") <= bare, name
+
+
+def test_rings_of_all_kinds_in_one_batch():
+    """Many rings at once give what each gives by itself; those without an area give nothing."""
+    rng = np.random.default_rng(5)
+    t = FLAT.template((0, 0, 1000, 1000))
+    rings = []
+    for i in range(60):
+        n = int(rng.integers(3, 40))
+        angle, radius = np.sort(rng.uniform(0, 2 * np.pi, n)), rng.uniform(0.1, 60, n)
+        x, y = rng.uniform(-20, 1020, 2)
+        rings.append((x + radius * np.cos(angle), y + radius * np.sin(angle)))
+    rings += [(np.array([1.0, 2]), np.array([1.0, 2])), (np.array([1.0, 2, 3]), np.array([1.0, 2, 3])), (np.array([]), np.array([])), (np.array([-5.0, 1005, 1005, -5]), np.array([-5.0, -5, 1005, 1005]))]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x, _ in rings])])
+    flat = [np.concatenate([r[i] for r in rings]) for i in (0, 1)]
+    got = {}
+    for ring, cell, share, _ in zip(*boxes.cut_rings(*flat, offsets, t)):
+        got[ring, cell] = share
+    g, want = t.grid, {}
+    top = math.floor((g.maxy - g.miny) / g.resolution - 0.5)
+    for i, (px, py) in enumerate(rings):
+        whole = abs(boxes.ring_area(px, py))
+        for c, k, area in boxes.ring_cells(px, py, t) if whole > 1e-9 else []:
+            if area / whole > boxes.SLIVER:
+                want[i, (top - k) * g.columns + c] = area / whole
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    most, boxes.AT_ONCE = boxes.AT_ONCE, 50  # every ring alone, large ones by their rows
+    try:
+        alone = {(r, c): s for r, c, s, _ in zip(*boxes.cut_rings(*flat, offsets, t))}
+    finally:
+        boxes.AT_ONCE = most
+    assert set(alone) == set(got) and all(abs(alone[k] - got[k]) < 1e-9 for k in got)
