@@ -50,6 +50,37 @@ def execution_plan(catalog: DataFrame, wanted: dict[str, list], start: str | Non
     return found
 
 
+def placed(catalog: DataFrame) -> DataFrame:
+    """The catalog with ``place`` (from 1) in the order of level, variable, date and the rest, nulls last.
+
+    Ranked inside each level; the levels' sizes are a table of a few rows.
+    """
+    keys = [F.asc("variable"), *[F.asc_nulls_last(k) for k in ("date", "time_range", "month", "model", "scenario")]]
+    levels = catalog.groupBy(F.col("level").alias("l_")).agg(F.count("*").alias("n_"))
+    before = levels.select("l_", (F.sum("n_").over(Window.orderBy("l_")) - F.col("n_")).alias("before_"))
+    ranked = catalog.withColumn("r_", F.row_number().over(Window.partitionBy("level").orderBy(*keys)))
+    return ranked.join(F.broadcast(before), F.col("level").eqNullSafe(F.col("l_"))).withColumn("place", F.col("r_") + F.col("before_")).drop("l_", "r_", "before_")
+
+
+def cover_plan(catalog: DataFrame, wanted: dict[str, list], years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+    """Land-cover layers of a recipe: lists of members (level, variable, aggregation, layer_class) and a range of years."""
+    found = catalog.where(members(wanted))
+    for low, end in ((True, years[0]), (False, years[1])):
+        if end is not None:
+            found = found.where(F.col("year") >= int(end) if low else F.col("year") <= int(end))
+    return found
+
+
+def cover_label(year: Column) -> Column:
+    """The label of a land-cover layer: the first day of its year."""
+    return F.concat(F.lpad(year.cast("string"), 4, "0"), F.lit("-01-01"))
+
+
+def packed(variable: Column, aggregation: Column, layer_class: Column) -> Column:
+    """variable__aggregation__class, without the parts that are null or empty."""
+    return F.concat_ws("__", variable, F.nullif(aggregation, F.lit("")), F.nullif(layer_class, F.lit("")))
+
+
 def z_label(level: Column, scenario: Column, model: Column, time_range: Column, month: Column, date: Column, row: Column) -> Column:
     """The label of a slice: a projection's parts, else its date, else the year's first day, else its number."""
     base = F.concat_ws("_", model, scenario, time_range)

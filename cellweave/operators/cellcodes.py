@@ -22,8 +22,12 @@ def _size(metres: int) -> str:
 
 def eea_code(lon: Column, lat: Column, resolution: int = 1000) -> Column:
     """EEA reference grid, e.g. 1kmE3900N3100: corner coordinates without the zeros that the size implies."""
+    return eea_code_of(*Laea.forward(lon, lat), resolution)
+
+
+def eea_code_of(x: Column, y: Column, resolution: int = 1000) -> Column:
+    """``eea_code`` of points that are projected already."""
     _check("EEARG", resolution)
-    x, y = Laea.forward(lon, lat)
     zeros = len(str(resolution)) - len(str(resolution).rstrip("0"))
     cell = lambda v: (F.floor(v / float(resolution)).cast("long") * resolution / 10**zeros).cast("long").cast("string")
     return F.concat(F.lit(f"{_size(resolution)}E"), cell(x), F.lit("N"), cell(y))

@@ -60,10 +60,27 @@ def drift(mapped: DataFrame, grid, x: str = "x", y: str = "y", u: str = "u", def
     return mapped.withColumn("drift", d).withColumn("drift_ok", F.coalesce(d <= allowed, F.lit(True)))
 
 
-def failure_report(with_mass: DataFrame, drifted: DataFrame, b: Bounds, uid: str = "src_uid", most: int = 10_000) -> dict[str, list]:
-    """Ids of failures for a JSON report, at most ``most`` of each kind, and their full counts."""
-    found = {"interior_mass_failures": interior_failures(with_mass), "boundary_mass_failures": boundary_failures(with_mass, b), "drift_failures": drifted.where("not drift_ok").select(uid).distinct()}
-    return {name: [r[0] for r in df.select(uid).orderBy(uid).limit(most).collect()] for name, df in found.items()} | {f"{name}_total": df.count() for name, df in found.items()}
+FAILURES = ("interior_mass_failures", "boundary_mass_failures", "drift_failures")
+
+
+def failures(with_mass: DataFrame, drifted: DataFrame, b: Bounds, uid: str = "src_uid") -> DataFrame:
+    """(kind, uid): every failing source of each kind of ``FAILURES``."""
+    found = (interior_failures(with_mass), boundary_failures(with_mass, b), drifted.where("not drift_ok"))
+    parts = [df.select(F.lit(kind).alias("kind"), F.col(uid)).distinct() for kind, df in zip(FAILURES, found)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def failure_report(failed: DataFrame, table: str | None = None) -> dict:
+    """Counts of each kind for a JSON report, beside a pointer to the table that lists them all."""
+    counts = {r["kind"]: r["n"] for r in failed.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    return {kind: counts.get(kind, 0) for kind in FAILURES} | {"table": table}
+
+
+def source_masses(mapping: DataFrame, weight: str, b: Bounds, row: str = "source_row", uid: str = "src_uid") -> DataFrame:
+    """One row for each source row of a mapping that carries ``row``: uid, x, y, u, mass, zone. No join: the mapping has them all."""
+    share = F.when(F.col("grid_idx").isNotNull(), F.col(weight))
+    per = mapping.groupBy(row).agg(*[F.first(c).alias(c) for c in (uid, "x", "y", "u")], F.coalesce(F.sum(share), F.lit(0.0)).alias("mass"))
+    return per.withColumn("zone", zone(F.col("x"), F.col("y"), F.col("u"), b))
 
 
 def layer_checks(layers: DataFrame, tol: float = 1e-6) -> DataFrame:

@@ -9,11 +9,16 @@ target centre by integer keys.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellweave.functions.crs import transform_points
+from cellweave.runtime import ship
+
 #: Kernels that aggregate the pixels of a target cell. Of equally frequent values ``mode`` takes the smallest.
 KERNELS = {
     "average": F.avg, "sum": F.sum, "min": F.min, "max": F.max,
@@ -109,6 +114,18 @@ def warp(pixels: DataFrame, cells: DataFrame, resolution: float, kernel: str, ke
     return found.where("value is not null")
 
 
+def centres_in(cells: DataFrame, source: int, target: int) -> DataFrame:
+    """``cells(grid_idx, x, y)`` with their centres in another CRS."""
+    ship(cells.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = transform_points(batch.column(1).to_numpy(), batch.column(2).to_numpy(), source, target)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x), pa.array(y)], names=["grid_idx", "x", "y"])
+
+    return cells.select("grid_idx", "x", "y").mapInArrow(run, "grid_idx long, x double, y double")
+
+
 def class_fraction(pixels: DataFrame, wanted: int, factor: int, nodata: int, value: str = "value") -> DataFrame:
     """Share of a class among a cell's pixels that have data."""
     flag = F.when(F.col(value) != nodata, (F.col(value) == wanted).cast("double"))

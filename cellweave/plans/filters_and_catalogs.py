@@ -164,14 +164,9 @@ def execution_plan_day28(spark, sf_dir):
     return catalog.execution_plan(c, {}, "1990-01-01", (2014, 1), legacy_day28=True)
 
 
-@query("catalog_sorted", f"with {_KEYS}, o as (select *, row_number() over (order by level, variable, date nulls last, time_range nulls last, month nulls last, model nulls last, scenario nulls last) as place from parsed) select level, variable, date, time_range, place from o where place <= 100")
+@query("catalog_sorted", f"with {_KEYS} select level, variable, date, time_range, row_number() over (order by level, variable, date nulls last, time_range nulls last, month nulls last, model nulls last, scenario nulls last) as place from parsed")
 def catalog_sorted(spark, sf_dir):
-    c = catalog.parse_keys(asset_keys(spark, sf_dir))
-    keys = [F.asc("level"), F.asc("variable"), *[F.asc_nulls_last(k) for k in ("date", "time_range", "month", "model", "scenario")]]
-    from pyspark.sql import Window
-
-    first = c.orderBy(*keys).limit(100)
-    return first.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys)).cast("long")).select("level", "variable", "date", "time_range", "place")
+    return catalog.placed(catalog.parse_keys(asset_keys(spark, sf_dir))).select("level", "variable", "date", "time_range", "place")
 
 
 @query("z_labels", f"""with {_KEYS} select level, variable, case when level = 'climatologies' then concat_ws('_', model, scenario, time_range, {_PAD('month')}) when level = 'bioclim' then concat_ws('_', model, scenario, time_range) when date is not null then strftime(date, '%Y-%m-%d') else '0' end as z, count(*) as n from parsed group by all""")

@@ -217,20 +217,20 @@ def cube_null_groups(spark, sf_dir):
 @query("api_cube_sql", f"""with {COUNTED} select specieskey, year, concat('1kmE', floor(x / 1000.0::double)::bigint, 'N', floor(y / 1000.0::double)::bigint) as cellcode, round(sum(coalesce(individualcount, 1)), 6) as total, count(distinct recordedby) as observers
 from counted where occurrencestatus in ('PRESENT') and hascoordinate group by all""")
 def api_cube_sql(spark, sf_dir):
-    from cellweave.operators.cellcodes import eea_code
+    from cellweave.operators.cellcodes import eea_code_of
 
     rows = filters.request(counted(spark, sf_dir), {"record_type": "presence"})
     spec = [{"column": "individualcount", "method": "sum", "rename": "total"}, {"column": "recordedby", "method": "nunique", "rename": "observers"}]
-    out = aggregate.cube_sql(rows, ["specieskey", "year"], eea_code(F.col("decimallongitude"), F.col("decimallatitude")), spec)
+    out = aggregate.cube_sql(rows, ["specieskey", "year"], eea_code_of(F.col("x"), F.col("y")), spec)
     return out.withColumn("total", F.round("total", 6))
 
 
 @query("api_cube_counts", f"with {PLACED} select month, concat('10kmE', floor(x / 10000.0::double)::bigint, 'N', floor(y / 10000.0::double)::bigint) as cellcode, count(*) as absences from placed where hascoordinate and occurrencestatus in ('ABSENT') group by all")
 def api_cube_counts(spark, sf_dir):
-    from cellweave.operators.cellcodes import eea_code
+    from cellweave.operators.cellcodes import eea_code_of
 
-    rows = filters.request(occurrences(spark, sf_dir), {"record_type": "absence"})
-    return aggregate.cube_sql(rows, ["month"], eea_code(F.col("decimallongitude"), F.col("decimallatitude"), 10000), record="absences")
+    rows = filters.request(placed(spark, sf_dir), {"record_type": "absence"})
+    return aggregate.cube_sql(rows, ["month"], eea_code_of(F.col("x"), F.col("y"), 10000), record="absences")
 
 
 @query("sparse_cube", f"with {COUNTED} select specieskey, year, round(sum(individualcount), 6) as individualcount from counted where u is not null and grid_idx is not null group by all")

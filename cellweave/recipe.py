@@ -19,6 +19,8 @@ class Recipe:
     sources: dict = field(default_factory=dict)
     export_as: str = "parquet"
     aggregate: dict | None = None
+    #: Whether provenance holds digests of all input files (it always holds their sizes).
+    digests: bool = False
 
 
 #: Whether a source whose block says nothing about it is on.
@@ -39,7 +41,7 @@ def parse(raw: dict) -> Recipe:
     """ValueError if the parts that every run needs are missing."""
     if missing := [k for k in ("base_dir", "spatial") if not raw.get(k)]:
         raise ValueError(f"the recipe lacks {', '.join(missing)}")
-    return Recipe(raw.get("cube_name", "cube"), raw["base_dir"], raw["spatial"], raw.get("temporal") or {}, raw.get("sources") or {}, raw.get("export_as", "parquet"), raw.get("aggregate"))
+    return Recipe(raw.get("cube_name", "cube"), raw["base_dir"], raw["spatial"], raw.get("temporal") or {}, raw.get("sources") or {}, raw.get("export_as", "parquet"), raw.get("aggregate"), bool(raw.get("digests")))
 
 
 def load(path: str) -> Recipe:

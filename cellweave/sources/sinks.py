@@ -56,7 +56,23 @@ def file_digests(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
 
 
-def provenance(recipe: dict, inputs: dict[str, str] | None = None) -> dict:
+def input_files(spark: SparkSession, paths: list[str], digests: bool = False) -> list[dict]:
+    """Path, size and time of every input file, as listed; with ``digests`` their SHA-256 too, which reads them."""
+    if not paths:
+        return []
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", F.col("length").alias("size"), F.col("modificationTime").cast("string").alias("modified"), *([F.sha2("content", 256).alias("sha256")] if digests else []))
+    return [r.asDict() for r in files.orderBy("path").collect()]  # a row for each input file
+
+
+def dimensions(grid, bbox: list[float], columns: dict[str, list[str]], times: dict) -> dict:
+    """The cube's dimensions as STAC's datacube extension names them: space, time, and further columns of its tables."""
+    x0, y0, x1, y1 = grid.bounds_template(tuple(bbox)).bounds
+    space = lambda axis, low, high: {"type": "spatial", "axis": axis, "extent": [low, high], "step": grid.resolution, "reference_system": grid.epsg}
+    more = sorted({c for names in columns.values() for c in names if c in ("level", "variable", "z", "aggregation", "layer_class", "year", "month", "specieskey")})
+    return {"x": space("x", x0, x1), "y": space("y", y0, y1), "t": {"type": "temporal", "extent": [times.get("start"), str(times.get("end") or "") or None]}} | {c: {"type": "ordinal" if c in ("year", "month") else "nominal"} for c in more}
+
+
+def provenance(recipe: dict, inputs: list[dict] | None = None) -> dict:
     """What a run was made with: recipe and its digest, platform, packages, revision of the working directory."""
     def git(*args: str) -> str | None:
         try:
@@ -71,4 +87,4 @@ def provenance(recipe: dict, inputs: dict[str, str] | None = None) -> dict:
             packages[p] = importlib.metadata.version(p)
         except importlib.metadata.PackageNotFoundError:
             continue
-    return {"created": datetime.now(timezone.utc).isoformat(), "recipe": recipe, "recipe_sha256": hashlib.sha256(text.encode()).hexdigest(), "python": platform.python_version(), "system": platform.platform(), "packages": packages, "revision": git("rev-parse", "HEAD"), "dirty": bool(git("status", "--porcelain")), "inputs": inputs or {}}
+    return {"created": datetime.now(timezone.utc).isoformat(), "recipe": recipe, "recipe_sha256": hashlib.sha256(text.encode()).hexdigest(), "python": platform.python_version(), "system": platform.platform(), "packages": packages, "revision": git("rev-parse", "HEAD"), "dirty": bool(git("status", "--porcelain")), "inputs": inputs or []}

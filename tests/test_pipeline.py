@@ -81,6 +81,54 @@ def test_raster_cube(spark, tmp_path):
     assert [(r["variable"], r["z"], r["value"]) for r in got] == [("bio12", "1981-2010", 2.0)]
 
 
+def test_land_cover_cube(spark, tmp_path):
+    """Pixels in degrees on a metre grid: shares are averaged, classes and aggregates keep their own kernels."""
+    path = str(tmp_path / "catalog")
+    rows = [("GRA", "grass", 2018, "coverage", "", "a"), ("GRA", "grass", 2018, "max", "", "b"), ("GRA", "grass", 2018, "rms", "", "c"), ("GRA", "grass", 2018, "class", "dense", "d"), ("GRA", "grass", 2012, "coverage", "", "e")]
+    spark.createDataFrame(rows, "level string, variable string, year int, aggregation string, layer_class string, href string").write.parquet(path)
+    made = recipe.parse({"base_dir": "x", "spatial": {"bbox": [3.0, 50.5, 3.05, 50.53]}, "temporal": {"start": "2015-01-01", "end": [2020, 12]}})
+    step = 1 / 200
+    pixels = spark.createDataFrame([(h, 2.9 + (i + 0.5) * step, 50.4 + (j + 0.5) * step, float((i * 7 + j * 3) % 5)) for h in "abcde" for i in range(60) for j in range(50)], "href string, x double, y double, value double")
+    spec = {"type": "land_cover", "catalog": path, "target": {"grid": "EEA", "resolution": "1km"}, "resolutions": ["1km"], "pixels_epsg": 4326}
+    got = pipeline.raster_pipeline(spark, spec, made, pixels).toPandas()
+    assert set(got.layer) == {"grass__coverage", "grass__max", "grass__rms", "grass__class__dense"} and set(got.z) == {"2018-01-01"}
+    from cellweave.functions.crs import ARRAYS, Laea
+
+    grid = pipeline.LandCover().grid(spec)
+    t = grid.bounds_template((3.0, 50.5, 3.05, 50.53))
+    one = pixels.where("href = 'a'").toPandas()
+    x, y = Laea.forward(one.x.to_numpy(), one.y.to_numpy(), ARRAYS)
+    top = round((grid.maxy - grid.miny) / grid.resolution) - 1
+    one["cell"] = [(top - int((b - grid.miny) // 1000)) * grid.columns + int((a - grid.minx) // 1000) for a, b in zip(x, y)]
+    inside = set(r["grid_idx"] for r in t.cells(spark).collect())
+    by = {c: g.value.to_numpy() for c, g in one.groupby("cell") if c in inside}
+    for layer, how in (("grass__coverage", lambda v: v.mean()), ("grass__max", lambda v: v.max()), ("grass__rms", lambda v: (v * v).mean() ** 0.5)):
+        assert {r.grid_idx: round(r.value, 9) for r in got[got.layer == layer].itertuples()} == {c: round(how(v), 9) for c, v in by.items()}
+    near = got[got.layer == "grass__class__dense"]
+    cells = {r["grid_idx"]: r for r in t.cells(spark).collect()}
+    assert set(near.grid_idx) == inside
+    for r in near.itertuples():
+        lon, lat = Laea.inverse(cells[r.grid_idx]["x"], cells[r.grid_idx]["y"])
+        assert r.value == (int((lon - 2.9) // step) * 7 + int((lat - 50.4) // step) * 3) % 5
+
+
+def test_run_checks_masses_and_names_its_inputs(spark, records, tmp_path):
+    made = recipe.parse({"base_dir": str(tmp_path), "cube_name": "c", "digests": True, "spatial": {"bbox": [3.5, 50.7, 4.2, 51.2]}, "aggregate": AGG, "sources": {"occurrences": {"path": records, "target": {"grid": "EEA_1km"}, "output_type": "polygon"}}})
+    pipeline.run(spark, made)
+    item = json.loads((tmp_path / "c/meta/c_occurrences.json").read_text())["properties"]
+    assert item["proj:epsg"] == 3035 and item["cube:dimensions"]["x"]["step"] == 1000.0 and item["cube:dimensions"]["year"]["type"] == "ordinal"
+    report = json.loads((tmp_path / "c/meta/c_occurrences_quality.json").read_text())
+    masses = spark.read.parquet(f"{tmp_path}/c/occurrences/masses")
+    assert masses.count() == spark.read.parquet(records).count() and {r[0] for r in masses.select("zone").distinct().collect()} == {"Interior", "Boundary", "Exterior"}
+    whole = spark.read.parquet(records).where("coordinateUncertaintyInMeters > 0").count()
+    assert report["interior_mass_failures"] == masses.where("zone = 'Interior' and u = 0").count() < whole  # points without an extent have no area
+    inputs = json.loads((tmp_path / "c/meta/provenance.json").read_text())["inputs"]
+    assert inputs and all(len(i["sha256"]) == 64 and i["size"] > 0 for i in inputs)
+    bad = spark.createDataFrame([(1, None, 50.9, 7)], "gbifid long, decimallongitude double, decimallatitude double, specieskey int")
+    with pytest.raises(ValueError, match="lack a coordinate"):
+        pipeline.vector_pipeline(spark, {"target": {"grid": "EEA_1km"}, "strict": True}, made, bad)
+
+
 def test_raster_cube_interpolates_on_a_finer_grid(spark, tmp_path):
     """A bilinear variable, 30 arc-second pixels on 15 second cells: a plane comes back, with a value in every cell."""
     path = str(tmp_path / "catalog")
