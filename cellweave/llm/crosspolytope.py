@@ -225,6 +225,33 @@ def _table(out: Found) -> dict[str, pa.Array]:
 BUCKET = ["width", "t", "code"]
 
 
+def worth(batch: pa.RecordBatch, starts: np.ndarray, how: Hashing, small: int = 24) -> np.ndarray:
+    """Of the buckets that end where the next of ``starts`` begins, those to compare: larger ones, and small ones with a near pair.
+
+    Members of small buckets are compared for all buckets of the batch at once, each with the one d places after it.
+    """
+    sizes = np.diff(starts)
+    if (batch.column("width").to_numpy() != batch.column("width")[0].as_py()).any():
+        return sizes > 1
+    out = sizes > small
+    few = (sizes > 1) & ~out
+    first, last = starts[:-1][few], starts[1:][few]
+    at = np.arange(int((last - first).sum())) - np.repeat(np.cumsum(last - first) - (last - first), last - first) + np.repeat(first, last - first)
+    stop, bucket = np.repeat(last, last - first), np.repeat(np.flatnonzero(few), last - first)
+    x = unit(np.asarray(batch.column("vec").flatten().to_numpy(zero_copy_only=False), np.float64).reshape(batch.num_rows, -1))
+    home, node = batch.column("home").to_numpy(), batch.column("node").to_numpy()
+    for d in range(1, small):
+        ok = at + d < stop
+        at, stop, bucket = at[ok], stop[ok], bucket[ok]
+        if not len(at):
+            break
+        for lo in range(0, len(at), 16384):
+            a, b = at[lo : lo + 16384], at[lo : lo + 16384] + d
+            near = (np.einsum("ij,ij->i", x[a], x[b]) >= how.cosine - 1e-9) & (home[a] + home[b] > 0) & (node[a] != node[b])
+            out[bucket[lo : lo + 16384][near]] = True
+    return out
+
+
 def _verify_runs(how: Hashing):
     """Over rows sorted by bucket, each bucket within one block: counts and edges."""
 
@@ -249,7 +276,8 @@ def _verify_runs(how: Hashing):
                 changes |= values[1:] != values[:-1]
             starts = np.concatenate([[0], np.flatnonzero(changes) + 1]).astype(np.int64)
             open_ = batch.slice(int(starts[-1]))
-            yield from work(batch, starts[:-1], starts[1:])
+            some = worth(batch, starts, how)
+            yield from work(batch, starts[:-1][some], starts[1:][some])
         if open_ is not None:
             yield from work(open_, np.array([0]), np.array([open_.num_rows]))
 
