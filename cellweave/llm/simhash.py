@@ -13,7 +13,8 @@ those that meet are compared if 128 further bits differ little. Segments are as
 allows and, at any number, so many that documents of the least similarity meet with probability ``RECALL``
 (more similar ones more often): the number of documents changes the cost, not what is found, up to that share.
 In groups of many members first only as many pairs are compared as would connect them, then all pairs that the
-first round left in different groups.
+first round left in different groups: buckets that would give more than ``DENSE`` pairs for each member compare their
+sets where they meet, in blocks, and give only edges that connect.
 
 ``near_duplicates``' candidate search: each segment is indexed with every single bit replaced by a wildcard; two segments that
 differ by at most one bit have a variant in common. Fingerprints that share a variant are verified.
@@ -52,6 +53,8 @@ BITS = 3
 BUCKET_LIMIT = 8192
 #: The probability with which documents of the least similarity meet in a segment of ``keep_one``.
 RECALL = 0.999
+#: Pairs that a bucket may give for each member; beyond that its sets are compared where they meet, so many at a time.
+DENSE, TOGETHER = 4, 2048
 #: Standard deviations above the mean up to which their ``CHECK`` further words may differ.
 SPREAD, CHECK = 3.7, 2
 
@@ -346,12 +349,14 @@ def across(values: np.ndarray, labels: np.ndarray, bits: int, block: int = 256)
                 yield i[near] + at, j[near] + lo
 
 
-def _meetings(bits: int, limit: int, labelled: bool, small: int = 16):
+def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
     """Over rows (key, node, c0, c1, label) sorted by key: pairs (a, b, key null) of nodes to compare.
 
     Not ``labelled``: as many as connect a bucket's members (all of them up to ``small``). ``labelled``: all whose
-    labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, key) once.
+    labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, key) once; so does one that would give
+    over ``dense`` pairs for each member.
     """
+    small = 16 if dense is None else 2 * dense
 
     def pack(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int64())], names=["a", "b", "key"])
@@ -363,9 +368,15 @@ def _meetings(bits: int, limit: int, labelled: bool, small: int = 16):
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key], pa.int64())], names=["a", "b", "key"])
             elif n > 1:
                 node, values, label = (np.concatenate(x) for x in zip(*held))
+                out, found = [], 0
                 for a, b in across(values, label, bits) if labelled else [tie(values, bits)]:
+                    found += len(a)
+                    if dense is not None and found > dense * n:
+                        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key], pa.int64())], names=["a", "b", "key"])
+                        return
                     if len(a):
-                        yield pack(node[a], node[b])
+                        out.append(pack(node[a], node[b]))
+                yield from out
 
         held_key, held, held_n = None, [], 0  # the bucket that is still open
         for batch in batches:
@@ -428,6 +439,45 @@ def meetings(sketched: DataFrame, bits: int, limit: int, labelled: bool) -> Data
     return durable(pairs.unionByName(spread.groupBy("key", "i", "j").applyInArrow(_block_meetings(bits, labelled), "a long, b long")).distinct())
 
 
+def _tied_sets(similarity: float):
+    """One block, or two, of a bucket: edges (a, b) of nodes whose sets are similar and whose labels differ, as many as connect them."""
+
+    def run(found: pa.Table) -> pa.Table:
+        node, label = found.column("node").to_numpy(), found.column("label").to_numpy()
+        lists = found.column("s").combine_chunks()
+        size = np.asarray(lists.value_lengths()).astype(np.int64)
+        first = np.cumsum(size) - size
+        _, flat = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+        mark = np.zeros(int(flat.max(initial=-1)) + 1, bool)
+        out_a, out_b = [], []
+        group = np.unique(label, return_inverse=True)[1]
+        for i in range(len(node) - 1):
+            mine = flat[first[i] : first[i] + size[i]]
+            mark[mine] = True
+            rest = slice(first[i + 1], None)
+            both = np.add.reduceat(mark[flat[rest]], first[i + 1 :] - first[i + 1], dtype=np.int64)
+            mark[mine] = False
+            hits = np.flatnonzero((both >= (size[i] + size[i + 1 :] - both) * similarity - 1e-6) & (both > 0)) + i + 1
+            for j in hits:
+                if group[i] != group[j]:
+                    group[group == group[j]] = group[i]
+                    out_a.append(node[i])
+                    out_b.append(node[j])
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return run
+
+
+def tied_in_buckets(sketched: DataFrame, sets: DataFrame, hot: DataFrame, similarity: float, limit: int) -> DataFrame:
+    """Edges (a, b) that connect what similarity links in the buckets ``hot(key)``; sets are compared where they meet, pairs are no rows."""
+    rows = sketched.select(F.explode("keys").alias("key"), "node", "label").join(hot, "key")
+    parts = rows.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
+    cut = rows.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
+    whole = spread.select("key", "i", "j", "node", "label").join(sets.select("node", "s").where("n > 0"), "node")
+    return whole.groupBy("key", "i", "j").applyInArrow(_tied_sets(similarity), "a long, b long").distinct()
+
+
 def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets (node, s, n) have a Jaccard similarity of ``similarity`` or more, compared exactly."""
     one = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na"))
@@ -486,9 +536,14 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int
     texts = docs.select(F.col(text).alias("n_text"), keys["k_text"].alias("h")).join(near.select(F.col("who.h").alias("h")).distinct(), "h", "left_semi").select("n_text")
     sets = durable(shingle_sets(texts, words, seed).join(nodes, "node", "left_semi"))
     sure = durable(alike(first, sets, similarity))
-    grouped = near.join(components(sure), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    second = meetings(grouped, most, bucket_limit, True).join(first, ["a", "b"], "left_anti")
-    linked = components(sure.unionByName(alike(second, sets, similarity)))
+    grouped = durable(near.join(components(sure), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    rows = grouped.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
+    raw = durable(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meetings(most, bucket_limit, True, DENSE), "a long, b long, key long").distinct())
+    second = alike(raw.where("key is null").select("a", "b").join(first, ["a", "b"], "left_anti"), sets, similarity)
+    hot = raw.where("key is not null").select("key")
+    if not hot.isEmpty():
+        second = second.unionByName(tied_in_buckets(grouped, sets, hot, similarity, min(bucket_limit, TOGETHER)))
+    linked = components(sure.unionByName(second))
     chosen = per.join(linked, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("who").alias("who"))
     chosen = chosen.select(F.col("who.no").alias("k_null"), F.coalesce(F.col("who.id").cast("string"), F.lit("")).alias("k_id"), F.col("who.h").alias("k_text"))
     rows = tagged.join(chosen, list(keys), "left_semi").dropDuplicates(list(keys))
