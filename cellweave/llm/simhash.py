@@ -12,8 +12,8 @@ acos(2J / (1 + J)) / pi, 0.15 at J = 0.8. A fingerprint is cut into segments, do
 those that meet are compared if 128 further bits differ little. Segments are as short as the number of documents
 allows and, at any number, so many that documents of the least similarity meet with probability ``RECALL``
 (more similar ones more often): the number of documents changes the cost, not what is found, up to that share.
-In groups of many members first only as many pairs are compared as would connect them, then all pairs that the
-first round left in different groups: buckets that would give more than ``DENSE`` pairs for each member compare their
+First each document is compared with the ``PARTNERS`` nearest of those that its buckets tie it to, then all pairs that
+the first round left in different groups: buckets that would give more than ``DENSE`` pairs for each member compare their
 sets where they meet, in blocks, and give only edges that connect.
 
 ``near_duplicates``' candidate search: each segment is indexed with every single bit replaced by a wildcard; two segments that
@@ -55,6 +55,8 @@ BUCKET_LIMIT = 8192
 RECALL = 0.999
 #: Pairs that a bucket may give for each member; beyond that its sets are compared where they meet, so many at a time.
 DENSE, TOGETHER = 4, 2048
+#: Nodes that a node is compared with in the first round.
+PARTNERS = 2
 #: Standard deviations above the mean up to which their ``CHECK`` further words may differ.
 SPREAD, CHECK = 3.7, 2
 
@@ -350,32 +352,37 @@ def across(values: np.ndarray, labels: np.ndarray, bits: int, block: int = 256)
 
 
 def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
-    """Over rows (key, node, c0, c1, label) sorted by key: pairs (a, b, key null) of nodes to compare.
+    """Over rows (key, node, c0, c1, label) sorted by key and node: pairs (a, b, key null) of nodes to compare.
 
-    Not ``labelled``: as many as connect a bucket's members (all of them up to ``small``). ``labelled``: all whose
-    labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, key) once; so does one that would give
+    Not ``labelled``: as many as connect a bucket's members, from its smallest node on, which a group's buckets often
+    share (up to ``small`` members: each with the smallest node it may resemble). ``labelled``: all whose labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, key) once; so does one that would give
     over ``dense`` pairs for each member.
     """
     small = 16 if dense is None else 2 * dense
 
-    def pack(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int64())], names=["a", "b", "key"])
+    def pack(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
+        if labelled:
+            a, b = np.minimum(a, b), np.maximum(a, b)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d.astype(np.int32)), pa.nulls(len(a), pa.int64())], names=["a", "b", "d", "key"])
+
+    def named_only(key: int | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([key], pa.int64())], names=["a", "b", "d", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(key: int | None, held: list) -> Iterator[pa.RecordBatch]:
             n = sum(len(h[0]) for h in held)
             if n > limit:
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key], pa.int64())], names=["a", "b", "key"])
+                yield named_only(key)
             elif n > 1:
                 node, values, label = (np.concatenate(x) for x in zip(*held))
                 out, found = [], 0
                 for a, b in across(values, label, bits) if labelled else [tie(values, bits)]:
                     found += len(a)
                     if dense is not None and found > dense * n:
-                        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([key], pa.int64())], names=["a", "b", "key"])
+                        yield named_only(key)
                         return
                     if len(a):
-                        out.append(pack(node[a], node[b]))
+                        out.append(pack(node[a], node[b], np.zeros(len(a)) if labelled else apart(values[a], values[b])))
                 yield from out
 
         held_key, held, held_n = None, [], 0  # the bucket that is still open
@@ -393,14 +400,19 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
             first, last = starts[few], starts[few] + sizes[few]
             stop = np.repeat(last, last - first)
             at = np.arange(len(stop)) - np.repeat(np.cumsum(last - first) - (last - first), last - first) + np.repeat(first, last - first)
+            lowest = np.full(len(keys), -1)
             for d in range(1, small):
                 ok = at + d < stop
                 at, stop = at[ok], stop[ok]
                 if not len(at):
                     break
                 near = (apart(values[at], values[at + d]) <= bits) & (label[at] != label[at + d])
-                if near.any():
-                    yield pack(node[at[near]], node[at[near] + d])
+                if labelled and near.any():
+                    yield pack(node[at[near]], node[at[near] + d], np.zeros(near.sum()))
+                lowest[at[near] + d] = at[near]
+            if not labelled and (lowest >= 0).any():
+                one, two = np.flatnonzero(lowest >= 0), lowest[lowest >= 0]
+                yield pack(node[one], node[two], apart(values[one], values[two]))
             for i in np.flatnonzero(~inner | (sizes > small)):
                 key, part = keys[starts[i]], slice(starts[i], starts[i] + sizes[i])
                 if key != held_key:
@@ -414,29 +426,41 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
     return run
 
 
-def _block_meetings(bits: int, labelled: bool):
+def _block_meetings(bits: int):
     def run(found: pa.Table) -> pa.Table:
-        node, c0, c1, label = (found.column(c).to_numpy() for c in ("node", "c0", "c1", "label"))
+        order = np.argsort(found.column("node").to_numpy(), kind="stable")
+        node, c0, c1 = (found.column(c).to_numpy()[order] for c in ("node", "c0", "c1"))
         values = np.stack([c0, c1], axis=1).view(np.uint64)
-        pairs = list(across(values, label, bits)) if labelled else [tie(values, bits)]
-        a, b = (node[np.concatenate([p[i] for p in pairs] or [np.empty(0, np.int64)])] for i in (0, 1))
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+        a, b = tie(values, bits)
+        return pa.table({"a": pa.array(node[a]), "b": pa.array(node[b]), "d": pa.array(apart(values[a], values[b]).astype(np.int32))})
 
     return run
 
 
-def meetings(sketched: DataFrame, bits: int, limit: int, labelled: bool) -> DataFrame:
-    """Distinct pairs (a, b) of nodes of ``sketched(node, c0, c1, keys, label)`` to compare: see ``_meetings``."""
+def meetings(sketched: DataFrame, bits: int, limit: int, partners: int = PARTNERS) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of nodes of ``sketched(node, c0, c1, keys, label)`` to compare first, and all nodes that meet another: see ``_meetings``.
+
+    Of the nodes that a node is tied to, one in each bucket, its ``partners`` with the fewest differing bits: pairs
+    grow with the nodes. What these do not connect the second round compares.
+    """
+    nearest = F.slice(F.array_sort(F.collect_set(F.struct("d", "b"))), 1, partners)  # of one for each bucket, or two blocks of it
+
+    def chosen(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        best = found.groupBy("a").agg(nearest.alias("best")).select("a", F.explode("best.b").alias("b"))
+        pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return durable(pairs), durable(found.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+
     rows = sketched.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
-    raw = durable(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meetings(bits, limit, labelled), "a long, b long, key long").distinct())
-    pairs, hot = raw.where("key is null").select("a", "b"), raw.where("key is not null").select("key")
+    raw = durable(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings(bits, limit, False), "a long, b long, d int, key long").distinct())
+    pairs, hot = raw.where("key is null").select("a", "b", "d"), raw.where("key is not null").select("key")
     if hot.isEmpty():
-        return pairs
+        return chosen(pairs)
     inside = durable(rows.join(hot, "key"))
     parts = inside.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
     cut = inside.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
-    return durable(pairs.unionByName(spread.groupBy("key", "i", "j").applyInArrow(_block_meetings(bits, labelled), "a long, b long")).distinct())
+    blocks = spread.groupBy("key", "i", "j").applyInArrow(_block_meetings(bits), "a long, b long, d int").distinct()
+    return chosen(pairs.unionByName(durable(blocks)))
 
 
 def _tied_sets(similarity: float):
@@ -513,11 +537,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS_PER_SHINGLE, seed: int =
     return marked.join(names, "fp").select(F.col("n_id").alias(ident), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = SEED, *, text: str = "text", ident: str = "doc_id", share: float | None = None, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int = SEED, *, text: str = "text", ident: str = "doc_id", share: float | None = None, bucket_limit: int = BUCKET_LIMIT, partners: int = PARTNERS) -> DataFrame:
     """The rows of ``docs`` with all their columns, one of each group of documents that are similar.
 
     ``share``: the share of differing bits up to which documents that meet are compared; by default that of the
-    similarity and ``SPREAD`` standard deviations. Groups are what exact similarity links. Kept is the row with
+    similarity and ``SPREAD`` standard deviations. ``partners``: what a document is compared with in the first
+    round; it changes the work, not the groups. Groups are what exact similarity links. Kept is the row with
     the smallest id (a null id after all others; then the smallest hash of its text); of repeated rows one stays.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -529,8 +554,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int
     per = durable(marked.groupBy("node").agg(F.min("who").alias("who"), *[F.any_value(c).alias(c) for c in ("c0", "c1", "keys")]))
     wide, p = 64 * CHECK, differing(similarity)
     most = int(wide * (share if share is not None else p + SPREAD * math.sqrt(p * (1 - p) / wide)))
-    first = meetings(per.withColumn("label", F.col("node")), most, bucket_limit, False)
-    nodes = durable(first.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    first, nodes = meetings(per.withColumn("label", F.col("node")), most, bucket_limit, partners)
     near = per.join(nodes, "node", "left_semi")
     # one text for each set that may be compared
     texts = docs.select(F.col(text).alias("n_text"), keys["k_text"].alias("h")).join(near.select(F.col("who.h").alias("h")).distinct(), "h", "left_semi").select("n_text")
@@ -538,7 +562,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int
     sure = durable(alike(first, sets, similarity))
     grouped = durable(near.join(components(sure), "node", "left").withColumn("label", F.coalesce("label", "node")))
     rows = grouped.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
-    raw = durable(rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meetings(most, bucket_limit, True, DENSE), "a long, b long, key long").distinct())
+    raw = durable(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings(most, bucket_limit, True, DENSE), "a long, b long, d int, key long").distinct())
     second = alike(raw.where("key is null").select("a", "b").join(first, ["a", "b"], "left_anti"), sets, similarity)
     hot = raw.where("key is not null").select("key")
     if not hot.isEmpty():

@@ -221,8 +221,8 @@ def test_keep_one_is_exact_at_any_size(spark, monkeypatch, documents):
     assert sum(2 * i + 1 not in kept for i, yes in like.items() if yes) >= 0.98 * sum(like.values())
 
 
-@pytest.mark.parametrize("limit", [8192, 20])
-def test_keep_one_in_a_large_group(spark, limit):
+@pytest.mark.parametrize("limit, partners", [(8192, simhash.PARTNERS), (8192, 1), (20, simhash.PARTNERS), (20, 1)])
+def test_keep_one_in_a_large_group(spark, monkeypatch, limit, partners):
     """Many versions of one text, some similar enough: groups as brute force finds them."""
     rng = np.random.default_rng(4)
     base = [f"w{i}" for i in range(200)]
@@ -234,8 +234,18 @@ def test_keep_one_in_a_large_group(spark, limit):
         texts.append(" ".join(mine))
     sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
     near = groups(list(range(90)), lambda x, y: len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
-    kept = simhash.keep_one(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS), bucket_limit=limit)
+    meet, first = simhash.meetings, []
+
+    def seen(*args):
+        pairs, nodes = meet(*args)
+        first.append((pairs.count(), nodes.count()))
+        return pairs, nodes
+
+    monkeypatch.setattr(simhash, "meetings", seen)
+    kept = simhash.keep_one(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS), bucket_limit=limit, partners=partners)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(near.values()))
+    [(pairs, nodes)] = first
+    assert nodes <= 90 and 0 < pairs <= partners * nodes  # pairs grow with the nodes, not with pairs in buckets
 
 
 def test_components(spark):
