@@ -355,7 +355,7 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
     """Over rows (key, node, c0, c1, label) sorted by key and node: pairs (a, b, key null) of nodes to compare.
 
     Not ``labelled``: as many as connect a bucket's members, from its smallest node on, which a group's buckets often
-    share (up to ``small`` members: each with the smallest node it may resemble). ``labelled``: all whose labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, key) once; so does one that would give
+    share (up to ``small`` members: each with the smallest node it may resemble). ``labelled``: all whose labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, its size, key) once; so does one that would give
     over ``dense`` pairs for each member.
     """
     small = 16 if dense is None else 2 * dense
@@ -365,21 +365,20 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
             a, b = np.minimum(a, b), np.maximum(a, b)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d.astype(np.int32)), pa.nulls(len(a), pa.int64())], names=["a", "b", "d", "key"])
 
-    def named_only(key: int | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([key], pa.int64())], names=["a", "b", "d", "key"])
+    def named_only(key: int | None, members: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([members], pa.int32()), pa.array([key], pa.int64())], names=["a", "b", "d", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(key: int | None, held: list) -> Iterator[pa.RecordBatch]:
-            n = sum(len(h[0]) for h in held)
+        def close(key: int | None, held: list, n: int) -> Iterator[pa.RecordBatch]:
             if n > limit:
-                yield named_only(key)
+                yield named_only(key, n)
             elif n > 1:
                 node, values, label = (np.concatenate(x) for x in zip(*held))
                 out, found = [], 0
                 for a, b in across(values, label, bits) if labelled else [tie(values, bits)]:
                     found += len(a)
                     if dense is not None and found > dense * n:
-                        yield named_only(key)
+                        yield named_only(key, n)
                         return
                     if len(a):
                         out.append(pack(node[a], node[b], np.zeros(len(a)) if labelled else apart(values[a], values[b])))
@@ -416,16 +415,25 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
             for i in np.flatnonzero(~inner | (sizes > small)):
                 key, part = keys[starts[i]], slice(starts[i], starts[i] + sizes[i])
                 if key != held_key:
-                    yield from close(held_key, held)
+                    yield from close(held_key, held, held_n)
                     held_key, held, held_n = int(key), [], 0
                 if held_n <= limit:
                     held.append((node[part].copy(), values[part].copy(), label[part].copy()))
-                held_n += sizes[i]
-        yield from close(held_key, held)
+                held_n += int(sizes[i])
+        yield from close(held_key, held, held_n)
 
     return run
 
 
+def in_blocks(rows: DataFrame, hot: DataFrame, limit: int) -> DataFrame:
+    """The members (key, node, ...) of the buckets ``hot(key, d: members)``, once for each pair of blocks (i, j) that they are in.
+
+    The bucket's size comes with its key, so members are joined and counted no second time.
+    """
+    cut = rows.join(hot.select("key", F.ceil(F.col("d") / limit).cast("int").alias("parts")), "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    return cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
+
+
 def _block_meetings(bits: int):
     def run(found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("node").to_numpy(), kind="stable")
@@ -452,14 +460,10 @@ def meetings(sketched: DataFrame, bits: int, limit: int, partners: int = PARTNER
 
     rows = sketched.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
     raw = durable(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings(bits, limit, False), "a long, b long, d int, key long").distinct())
-    pairs, hot = raw.where("key is null").select("a", "b", "d"), raw.where("key is not null").select("key")
+    pairs, hot = raw.where("key is null").select("a", "b", "d"), raw.where("key is not null").select("key", "d")
     if hot.isEmpty():
         return chosen(pairs)
-    inside = durable(rows.join(hot, "key"))
-    parts = inside.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
-    cut = inside.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
-    blocks = spread.groupBy("key", "i", "j").applyInArrow(_block_meetings(bits), "a long, b long, d int").distinct()
+    blocks = in_blocks(rows, hot, limit).groupBy("key", "i", "j").applyInArrow(_block_meetings(bits), "a long, b long, d int").distinct()
     return chosen(pairs.unionByName(durable(blocks)))
 
 
@@ -493,11 +497,8 @@ def _tied_sets(similarity: float):
 
 
 def tied_in_buckets(sketched: DataFrame, sets: DataFrame, hot: DataFrame, similarity: float, limit: int) -> DataFrame:
-    """Edges (a, b) that connect what similarity links in the buckets ``hot(key)``; sets are compared where they meet, pairs are no rows."""
-    rows = sketched.select(F.explode("keys").alias("key"), "node", "label").join(hot, "key")
-    parts = rows.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
-    cut = rows.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
+    """Edges (a, b) that connect what similarity links in the buckets ``hot(key, d)``; sets are compared where they meet, pairs are no rows."""
+    spread = in_blocks(sketched.select(F.explode("keys").alias("key"), "node", "label"), hot, limit)
     whole = spread.select("key", "i", "j", "node", "label").join(sets.select("node", "s").where("n > 0"), "node")
     return whole.groupBy("key", "i", "j").applyInArrow(_tied_sets(similarity), "a long, b long").distinct()
 
@@ -564,7 +565,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int
     rows = grouped.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
     raw = durable(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings(most, bucket_limit, True, DENSE), "a long, b long, d int, key long").distinct())
     second = alike(raw.where("key is null").select("a", "b").join(first, ["a", "b"], "left_anti"), sets, similarity)
-    hot = raw.where("key is not null").select("key")
+    hot = raw.where("key is not null").select("key", "d")
     if not hot.isEmpty():
         second = second.unionByName(tied_in_buckets(grouped, sets, hot, similarity, min(bucket_limit, TOGETHER)))
     linked = components(sure.unionByName(second))
