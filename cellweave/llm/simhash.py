@@ -12,9 +12,11 @@ acos(2J / (1 + J)) / pi, 0.15 at J = 0.8. A fingerprint is cut into segments, do
 those that meet are compared if 128 further bits differ little. Segments are as short as the number of documents
 allows and, at any number, so many that documents of the least similarity meet with probability ``RECALL``
 (more similar ones more often): the number of documents changes the cost, not what is found, up to that share.
-First each document is compared with the ``PARTNERS`` nearest of those that its buckets tie it to, then all pairs that
-the first round left in different groups: buckets that would give more than ``DENSE`` pairs for each member compare their
-sets where they meet, in blocks, and give only edges that connect.
+First each document is compared with the ``PARTNERS`` nearest of those that its buckets tie it to. Documents that
+resemble each other, directly or through others, by what their buckets tie make a clump; in a clump that the first round
+left in different groups the sets are compared where they meet, in blocks, all pairs of a clump once and not again in each
+bucket that holds them. Only a clump of more than one block whose members seldom meet (less than once in ``THICK`` pairs) is
+compared bucket by bucket: buckets that would give more than ``DENSE`` pairs for each member as blocks too.
 
 ``near_duplicates``' candidate search: each segment is indexed with every single bit replaced by a wildcard; two segments that
 differ by at most one bit have a variant in common. Fingerprints that share a variant are verified.
@@ -55,6 +57,8 @@ BUCKET_LIMIT = 8192
 RECALL = 0.999
 #: Pairs that a bucket may give for each member; beyond that its sets are compared where they meet, so many at a time.
 DENSE, TOGETHER = 4, 2048
+#: A clump of several blocks is compared as a whole if its buckets hold at least one in so many of its pairs, repeats counted.
+THICK = 4
 #: Nodes that a node is compared with in the first round.
 PARTNERS = 2
 #: Standard deviations above the mean up to which their ``CHECK`` further words may differ.
@@ -355,8 +359,9 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
     """Over rows (key, node, c0, c1, label) sorted by key and node: pairs (a, b, key null) of nodes to compare.
 
     Not ``labelled``: as many as connect a bucket's members, from its smallest node on, which a group's buckets often
-    share (up to ``small`` members: each with the smallest node it may resemble). ``labelled``: all whose labels differ. A bucket beyond ``limit`` gives no pairs, but (null, null, key) once; so does one that would give
-    over ``dense`` pairs for each member.
+    share (up to ``small`` members: each with the smallest node it may resemble). ``labelled``: all whose labels differ. A bucket
+    beyond ``limit`` gives no pairs, but (null, null, its members, key) once; so does one that would give over ``dense`` pairs
+    for each member.
     """
     small = 16 if dense is None else 2 * dense
 
@@ -365,21 +370,20 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
             a, b = np.minimum(a, b), np.maximum(a, b)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d.astype(np.int32)), pa.nulls(len(a), pa.int64())], names=["a", "b", "d", "key"])
 
-    def named_only(key: int | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([key], pa.int64())], names=["a", "b", "d", "key"])
+    def named_only(key: int | None, members: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([members], pa.int32()), pa.array([key], pa.int64())], names=["a", "b", "d", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(key: int | None, held: list) -> Iterator[pa.RecordBatch]:
-            n = sum(len(h[0]) for h in held)
+        def close(key: int | None, held: list, n: int) -> Iterator[pa.RecordBatch]:
             if n > limit:
-                yield named_only(key)
+                yield named_only(key, n)
             elif n > 1:
                 node, values, label = (np.concatenate(x) for x in zip(*held))
                 out, found = [], 0
                 for a, b in across(values, label, bits) if labelled else [tie(values, bits)]:
                     found += len(a)
                     if dense is not None and found > dense * n:
-                        yield named_only(key)
+                        yield named_only(key, n)
                         return
                     if len(a):
                         out.append(pack(node[a], node[b], np.zeros(len(a)) if labelled else apart(values[a], values[b])))
@@ -416,16 +420,22 @@ def _meetings(bits: int, limit: int, labelled: bool, dense: int | None = None):
             for i in np.flatnonzero(~inner | (sizes > small)):
                 key, part = keys[starts[i]], slice(starts[i], starts[i] + sizes[i])
                 if key != held_key:
-                    yield from close(held_key, held)
+                    yield from close(held_key, held, held_n)
                     held_key, held, held_n = int(key), [], 0
                 if held_n <= limit:
                     held.append((node[part].copy(), values[part].copy(), label[part].copy()))
-                held_n += sizes[i]
-        yield from close(held_key, held)
+                held_n += int(sizes[i])
+        yield from close(held_key, held, held_n)
 
     return run
 
 
+def in_blocks(rows: DataFrame, groups: DataFrame, by: str, limit: int) -> DataFrame:
+    """The members ``rows(by, node, ...)`` of ``groups(by, n: members)``, with ``part``, once for each pair of blocks (i, j) of at most about ``limit`` that they are in."""
+    cut = rows.join(groups.select(by, F.ceil(F.col("n") / limit).cast("int").alias("parts")), by).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    return cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
+
+
 def _block_meetings(bits: int):
     def run(found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("node").to_numpy(), kind="stable")
@@ -438,35 +448,41 @@ def _block_meetings(bits: int):
 
 
 def meetings(sketched: DataFrame, bits: int, limit: int, partners: int = PARTNERS) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (a < b) of nodes of ``sketched(node, c0, c1, keys, label)`` to compare first, and all nodes that meet another: see ``_meetings``.
+    """Distinct pairs (a < b) of nodes of ``sketched(node, c0, c1, keys, label)`` to compare first, and all nodes that meet another, (node, clump): see ``_meetings``.
 
     Of the nodes that a node is tied to, one in each bucket, its ``partners`` with the fewest differing bits: pairs
-    grow with the nodes. What these do not connect the second round compares.
+    grow with the nodes. What these do not connect the second round compares. A clump is what all ties connect, named
+    by one of its nodes.
     """
     nearest = F.slice(F.array_sort(F.collect_set(F.struct("d", "b"))), 1, partners)  # of one for each bucket, or two blocks of it
 
     def chosen(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         best = found.groupBy("a").agg(nearest.alias("best")).select("a", F.explode("best.b").alias("b"))
-        pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return durable(pairs), durable(found.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        pairs = durable(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        # the nearest connect most of a clump: other ties are needed only between what these leave apart
+        one = durable(components(pairs))
+        ends = found.select("a", "b").join(one.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(one.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
+        two = components(ends.select(F.col("la").alias("a"), F.coalesce("lb", "b").alias("b")).where("a <> b").distinct())
+        nodes = found.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(one, "node", "left").select("node", F.coalesce("label", "node").alias("part"))
+        return pairs, durable(nodes.join(two.withColumnRenamed("node", "part"), "part", "left").select("node", F.coalesce("label", "part").alias("clump")))
 
     rows = sketched.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
     raw = durable(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings(bits, limit, False), "a long, b long, d int, key long").distinct())
-    pairs, hot = raw.where("key is null").select("a", "b", "d"), raw.where("key is not null").select("key")
+    pairs, hot = raw.where("key is null").select("a", "b", "d"), raw.where("key is not null").select("key", F.col("d").alias("n"))
     if hot.isEmpty():
         return chosen(pairs)
-    inside = durable(rows.join(hot, "key"))
-    parts = inside.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
-    cut = inside.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
-    blocks = spread.groupBy("key", "i", "j").applyInArrow(_block_meetings(bits), "a long, b long, d int").distinct()
+    blocks = in_blocks(rows, hot, "key", limit).groupBy("key", "i", "j").applyInArrow(_block_meetings(bits), "a long, b long, d int").distinct()
     return chosen(pairs.unionByName(durable(blocks)))
 
 
 def _tied_sets(similarity: float):
-    """One block, or two, of a bucket: edges (a, b) of nodes whose sets are similar and whose labels differ, as many as connect them."""
+    """One block, or between two, of a clump or bucket: edges (a, b) of nodes whose sets are similar and whose labels differ, as many as connect them."""
 
     def run(found: pa.Table) -> pa.Table:
+        i, j = found.column("i")[0].as_py(), found.column("j")[0].as_py()
+        part = found.column("part").to_numpy()
+        found = found.take(pa.array(np.argsort(part, kind="stable")))
+        front = int((part == i).sum()) if i < j else 0  # inside a block all pairs, between two only those across
         node, label = found.column("node").to_numpy(), found.column("label").to_numpy()
         lists = found.column("s").combine_chunks()
         size = np.asarray(lists.value_lengths()).astype(np.int64)
@@ -475,31 +491,57 @@ def _tied_sets(similarity: float):
         mark = np.zeros(int(flat.max(initial=-1)) + 1, bool)
         out_a, out_b = [], []
         group = np.unique(label, return_inverse=True)[1]
-        for i in range(len(node) - 1):
-            mine = flat[first[i] : first[i] + size[i]]
+        for x in range(front or len(node) - 1):
+            at = max(x + 1, front)
+            if at == len(node) or (group[at:] == group[x]).all():
+                continue
+            mine = flat[first[x] : first[x] + size[x]]
             mark[mine] = True
-            rest = slice(first[i + 1], None)
-            both = np.add.reduceat(mark[flat[rest]], first[i + 1 :] - first[i + 1], dtype=np.int64)
+            both = np.add.reduceat(mark[flat[first[at] :]], first[at:] - first[at], dtype=np.int64)
             mark[mine] = False
-            hits = np.flatnonzero((both >= (size[i] + size[i + 1 :] - both) * similarity - 1e-6) & (both > 0)) + i + 1
-            for j in hits:
-                if group[i] != group[j]:
-                    group[group == group[j]] = group[i]
-                    out_a.append(node[i])
-                    out_b.append(node[j])
+            hits = np.flatnonzero((both >= (size[x] + size[at:] - both) * similarity - 1e-6) & (both > 0)) + at
+            for y in hits:
+                if group[x] != group[y]:
+                    group[group == group[y]] = group[x]
+                    out_a.append(node[x])
+                    out_b.append(node[y])
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return run
 
 
-def tied_in_buckets(sketched: DataFrame, sets: DataFrame, hot: DataFrame, similarity: float, limit: int) -> DataFrame:
-    """Edges (a, b) that connect what similarity links in the buckets ``hot(key)``; sets are compared where they meet, pairs are no rows."""
-    rows = sketched.select(F.explode("keys").alias("key"), "node", "label").join(hot, "key")
-    parts = rows.groupBy("key").agg(F.ceil(F.count("*") / limit).cast("int").alias("parts"))
-    cut = rows.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    spread = cut.withColumn("o", F.explode(F.expr("sequence(0, parts - 1)"))).withColumn("i", F.least("part", "o")).withColumn("j", F.greatest("part", "o"))
-    whole = spread.select("key", "i", "j", "node", "label").join(sets.select("node", "s").where("n > 0"), "node")
-    return whole.groupBy("key", "i", "j").applyInArrow(_tied_sets(similarity), "a long, b long").distinct()
+def tied_inside(members: DataFrame, groups: DataFrame, by: str, sets: DataFrame, similarity: float, limit: int) -> DataFrame:
+    """Edges (a, b) that connect what similarity links inside ``groups(by, n)`` of ``members(by, node, label)``; sets are compared where they meet, pairs are no rows."""
+    spread = in_blocks(members.select(by, "node", "label"), groups, by, limit)
+    whole = spread.select(by, "i", "j", "part", "node", "label").join(sets.select("node", "s").where("n > 0"), "node")
+    return whole.groupBy(by, "i", "j").applyInArrow(_tied_sets(similarity), "a long, b long").distinct()
+
+
+def tied_in_buckets(grouped: DataFrame, sets: DataFrame, compared: DataFrame, bits: int, similarity: float, bucket_limit: int) -> DataFrame:
+    """Edges (a, b) of nodes of ``grouped(node, c0, c1, keys, label)`` that meet in a bucket, are not ``compared(a, b)`` and are similar; dense buckets give as many as connect."""
+    rows = grouped.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
+    raw = durable(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings(bits, bucket_limit, True, DENSE), "a long, b long, d int, key long").distinct())
+    edges = alike(raw.where("key is null").select("a", "b").join(compared, ["a", "b"], "left_anti"), sets, similarity)
+    hot = raw.where("key is not null").select("key", F.col("d").alias("n"))
+    return edges if hot.isEmpty() else edges.unionByName(tied_inside(rows, hot, "key", sets, similarity, min(bucket_limit, TOGETHER)))
+
+
+def tied(grouped: DataFrame, sets: DataFrame, compared: DataFrame, bits: int, similarity: float, bucket_limit: int) -> DataFrame:
+    """The second round: edges (a, b) that connect what similarity links in the clumps of ``grouped(node, c0, c1, keys, label, clump)`` that have several labels.
+
+    A clump is compared as a whole, at least all that met in its buckets; one of several blocks only if its buckets
+    hold enough of its pairs, else it is compared bucket by bucket.
+    """
+    limit = min(bucket_limit, TOGETHER)
+    clumps = grouped.groupBy("clump").agg(F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("m"))
+    clumps = durable(clumps.where("n > 2 and l <> m").select("clump", "n"))  # the first round has compared clumps of two
+    large = clumps.where(F.col("n") > limit)
+    if large.isEmpty():
+        return tied_inside(grouped, clumps, "clump", sets, similarity, limit)
+    inside = grouped.join(large, "clump").select("clump", "n", F.explode("keys").alias("key")).groupBy("clump", "n", "key").agg(F.count("*").cast("double").alias("c"))
+    thin = durable(inside.groupBy("clump", "n").agg(F.sum(F.col("c") * F.col("c")).alias("met")).where(F.col("met") * THICK < F.col("n").cast("double") * F.col("n")).select("clump"))
+    edges = tied_inside(grouped, clumps.join(thin, "clump", "left_anti"), "clump", sets, similarity, limit)
+    return edges if thin.isEmpty() else edges.unionByName(tied_in_buckets(grouped.join(thin, "clump", "left_semi"), sets, compared, bits, similarity, bucket_limit))
 
 
 def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -555,19 +597,13 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, seed: int
     wide, p = 64 * CHECK, differing(similarity)
     most = int(wide * (share if share is not None else p + SPREAD * math.sqrt(p * (1 - p) / wide)))
     first, nodes = meetings(per.withColumn("label", F.col("node")), most, bucket_limit, partners)
-    near = per.join(nodes, "node", "left_semi")
+    near = per.join(nodes, "node")
     # one text for each set that may be compared
     texts = docs.select(F.col(text).alias("n_text"), keys["k_text"].alias("h")).join(near.select(F.col("who.h").alias("h")).distinct(), "h", "left_semi").select("n_text")
     sets = durable(shingle_sets(texts, words, seed).join(nodes, "node", "left_semi"))
     sure = durable(alike(first, sets, similarity))
     grouped = durable(near.join(components(sure), "node", "left").withColumn("label", F.coalesce("label", "node")))
-    rows = grouped.select(F.explode("keys").alias("key"), "node", "c0", "c1", "label")
-    raw = durable(rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings(most, bucket_limit, True, DENSE), "a long, b long, d int, key long").distinct())
-    second = alike(raw.where("key is null").select("a", "b").join(first, ["a", "b"], "left_anti"), sets, similarity)
-    hot = raw.where("key is not null").select("key")
-    if not hot.isEmpty():
-        second = second.unionByName(tied_in_buckets(grouped, sets, hot, similarity, min(bucket_limit, TOGETHER)))
-    linked = components(sure.unionByName(second))
+    linked = components(sure.unionByName(tied(grouped, sets, first, most, similarity, bucket_limit)))
     chosen = per.join(linked, "node", "left").groupBy(F.coalesce("label", "node").alias("label")).agg(F.min("who").alias("who"))
     chosen = chosen.select(F.col("who.no").alias("k_null"), F.coalesce(F.col("who.id").cast("string"), F.lit("")).alias("k_id"), F.col("who.h").alias("k_text"))
     rows = tagged.join(chosen, list(keys), "left_semi").dropDuplicates(list(keys))

@@ -248,6 +248,52 @@ def test_keep_one_in_a_large_group(spark, monkeypatch, limit, partners):
     assert nodes <= 90 and 0 < pairs <= partners * nodes  # pairs grow with the nodes, not with pairs in buckets
 
 
+def versions(n, changed):
+    """Texts that are versions of one, and what brute force links: (texts, smallest of each group)."""
+    rng = np.random.default_rng(4)
+    base, texts = [f"w{i}" for i in range(200)], []
+    for i in range(n):
+        mine = list(base)
+        for j in rng.choice(200, rng.integers(0, changed), replace=False):
+            mine[j] = f"x{i}y{j}"
+        texts.append(" ".join(mine))
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    near = groups(list(range(n)), lambda x, y: len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]))
+    return texts, sorted(set(near.values()))
+
+
+def test_keep_one_ships_a_set_once(spark, monkeypatch):
+    """Versions of one text share many buckets: their sets are compared in their clump, not again in each bucket."""
+    texts, smallest = versions(120, 16)
+    shipped, compare = spark.sparkContext.accumulator(0), simhash._tied_sets
+
+    def counted(similarity):
+        run = compare(similarity)
+
+        def counting(found):
+            shipped.add(found.num_rows)
+            return run(found)
+
+        return counting
+
+    monkeypatch.setattr(simhash, "_tied_sets", counted)
+    kept = simhash.keep_one(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS))
+    assert sorted(r["doc_id"] for r in kept.collect()) == smallest
+    assert 0 < shipped.value <= 120
+
+
+@pytest.mark.parametrize("thick", [0, 10**9])
+def test_keep_one_in_thin_and_thick_clumps(spark, monkeypatch, thick):
+    """Clumps of several blocks, compared bucket by bucket (0) or as a whole: the same groups, as brute force finds them."""
+    texts, smallest = versions(90, 16)
+    by_bucket, buckets = [], simhash.tied_in_buckets
+    monkeypatch.setattr(simhash, "THICK", thick)
+    monkeypatch.setattr(simhash, "tied_in_buckets", lambda *args: by_bucket.append(1) or buckets(*args))
+    kept = simhash.keep_one(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS), bucket_limit=20)
+    assert sorted(r["doc_id"] for r in kept.collect()) == smallest
+    assert len(by_bucket) == (thick == 0)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 2000), (2000, 3000), (7, 7), (None, 3)]
     got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
